@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import decontamination, mixing
+from tidewell.llm import decontamination, language, mixing, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,17 +15,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components(table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.cross_fitted(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score", "spans")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_simhash": op2_simhash,
         "op5_decontamination": op5_decontamination,
+        "op8_language": op8_language,
         "op10_mixing": op10_mixing,
     }
 
