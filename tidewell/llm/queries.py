@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import decontamination, fingerprints, language, mixing, secrets, simhash
+from tidewell.llm import decontamination, fingerprints, language, mixing, secrets, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "captured")
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(table(spark, sf_dir, "documents"))
 
@@ -44,11 +48,27 @@ def queries() -> dict[str, Query]:
         "op1_fingerprints": op1_fingerprints,
         "op2_simhash": op2_simhash,
         "op5_decontamination": op5_decontamination,
+        "op6_warc": op6_warc,
         "op7_secrets": op7_secrets,
         "op8_language": op8_language,
         "op10_mixing": op10_mixing,
     }
 
 
+OP6_SQL = """
+with p as (
+    select page_id, coalesce(html, '') as html, url from pages
+), d as (
+    select *, octet_length(html::blob) as n, sha256(html) as digest from p
+), f as (
+    select *, case when n >= 100 then min(page_id) over (partition by digest) end as first from d
+)
+select page_id, n as payload_bytes, digest as payload_digest,
+    case when first is null or first = page_id then 'response' else 'revisit' end as record_type,
+    case when first <> page_id then first end as refers_to
+from f
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {}
