@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import decontamination, fingerprints, language, mixing, secrets, simhash, warc
+from tidewell.llm import decontamination, fingerprints, language, mixing, secrets, simhash, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +24,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
 
+def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -47,6 +52,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_fingerprints": op1_fingerprints,
         "op2_simhash": op2_simhash,
+        "op3_tokens": op3_tokens,
         "op5_decontamination": op5_decontamination,
         "op6_warc": op6_warc,
         "op7_secrets": op7_secrets,
@@ -55,20 +61,25 @@ def queries() -> dict[str, Query]:
     }
 
 
-OP6_SQL = """
+OP6_SQL = r"""
 with p as (
-    select page_id, coalesce(html, '') as html, url from pages
+    select page_id, coalesce(html, '') as html, regexp_replace(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') as bare from pages
 ), d as (
-    select *, octet_length(html::blob) as n, sha256(html) as digest from p
+    select *, strlen(html) as n, sha256(html) as digest,
+        regexp_replace(lower(regexp_extract(bare, '^(?:[^/?#@]*@)?([^/?#:]*)', 1)), '^www[0-9]*\.', '') as host,
+        regexp_extract(bare, '^[^/?#]*([^#]*)', 1) as path
+    from p
 ), f as (
     select *, case when n >= 100 then min(page_id) over (partition by digest) end as first from d
 )
 select page_id, n as payload_bytes, digest as payload_digest,
     case when first is null or first = page_id then 'response' else 'revisit' end as record_type,
-    case when first <> page_id then first end as refers_to
+    case when first <> page_id then first end as refers_to,
+    array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || case when path = '' then '/' else path end as urlkey,
+    1704067200 + page_id % 31536000 as captured
 from f
 """
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_warc": OP6_SQL}
