@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import decontamination, fingerprints, language, mixing, secrets, simhash, tokens, warc
+from tidewell.llm import decontamination, fingerprints, language, mixing, pii, quality, secrets, simhash, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,10 @@ def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -44,6 +48,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.cross_fitted(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score", "spans")
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
@@ -53,10 +61,12 @@ def queries() -> dict[str, Query]:
         "op1_fingerprints": op1_fingerprints,
         "op2_simhash": op2_simhash,
         "op3_tokens": op3_tokens,
+        "op4_quality": op4_quality,
         "op5_decontamination": op5_decontamination,
         "op6_warc": op6_warc,
         "op7_secrets": op7_secrets,
         "op8_language": op8_language,
+        "op9_pii": op9_pii,
         "op10_mixing": op10_mixing,
     }
 
