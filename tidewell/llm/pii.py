@@ -35,10 +35,11 @@ STEPS, BATCH, LENGTH, RATE = 360, 48, 72, 0.02
 #: Pieces without a span that each document of the sample gives.
 OTHERS = 4
 
-# The contract's patterns.
+# The contract's patterns. An ip match can only begin where its digits begin; saying so spares long numbers
+# from being read once for each digit.
 PATTERNS = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "ip": re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }

@@ -40,11 +40,11 @@ RULES = (
     Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6, base=True),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20, ("AKIA",), base=True),
     Rule("hex", r"[0-9a-f]{24,}", 0, 24, base=True),
-    Rule("pem", r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----", 0, 1, ("PRIVATE KEY-----",)),
+    Rule("pem", r"-----BEGIN (?:[A-Z0-9]{1,20} ){0,4}PRIVATE KEY-----", 0, 1, ("PRIVATE KEY-----",)),
     Rule("github", r"(?:gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{40,})", 0, 40, ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_")),
-    Rule("slack", r"xox[abeoprs]-[A-Za-z0-9-]{10,}", 0, 15, ("xox",)),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 30, ("eyJ",)),
-    Rule("google", r"AIza[A-Za-z0-9_-]{35}", 0, 39, ("AIza",)),
+    Rule("slack", r"\bxox[abeoprs]-[A-Za-z0-9-]{10,}", 0, 15, ("xox",)),
+    Rule("jwt", r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 30, ("eyJ",)),
+    Rule("google", r"\bAIza[A-Za-z0-9_-]{35}", 0, 39, ("AIza",)),
     Rule("stripe", r"[rs]k_(?:live|test)_[A-Za-z0-9]{16,}", 0, 24, ("k_live_", "k_test_")),
     Rule("urlauth", r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,100}:[^\s/:@]{3,100}@", 0, 8, ("://",)),
 )
