@@ -1 +1 @@
-"""Tidewell: a lakehouse loading engine on Spark."""
+"""Column functions."""

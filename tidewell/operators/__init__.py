@@ -1 +1 @@
-"""Tidewell: a lakehouse loading engine on Spark."""
+"""What a load does with rows: the layout of data files, and the two table formats."""

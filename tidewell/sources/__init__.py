@@ -1 +1 @@
-"""Tidewell: a lakehouse loading engine on Spark."""
+"""Where rowsets come from: a Parquet file, SQL over registered views, or a JDBC database."""
