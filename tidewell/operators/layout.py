@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -11,8 +12,9 @@ from typing import Any
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+from py4j.protocol import Py4JJavaError
 from pyarrow import fs
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.errors import BadInputError, SourceError
@@ -81,8 +83,6 @@ def read_footer(url: str) -> dict[str, Any]:
 def _footers(spark: SparkSession, urls: list[str]) -> list[dict[str, Any]]:
     if len(urls) <= DRIVER_FOOTERS:
         return [read_footer(u) for u in urls]
-    import pickle
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = [pickle.dumps(read_footer(u)) for u in batch.column(1).to_pylist()]
@@ -124,7 +124,7 @@ def write_layout(df: DataFrame, store: Store, folder: str, pattern: str, layout:
         names = [f"{folder + '/' if folder else ''}{pattern.format(number=i, load=str(uuid.UUID(load)))}" for i in range(len(staged))]
         footers = _footers(spark, [store.full(e.path) for e in staged])
         store.move([(e.path, n) for e, n in zip(staged, names)])
-    except (AnalysisException, PySparkException) as e:
+    except (PySparkException, Py4JJavaError) as e:
         raise SourceError(str(e)) from e
     finally:
         store.delete(staging)

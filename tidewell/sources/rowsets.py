@@ -10,6 +10,7 @@ from typing import Protocol
 from urllib.parse import unquote, urlsplit
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,7 +56,7 @@ class ParquetSource:
             rows = spark.read.parquet(url)
             files = [e.path for e in store.files(name) if e.path.endswith(".parquet") or e.path == name]
             required = {f.name for f in file_schema(store.full(files[0])) if not f.nullable} if files else set()
-        except (PySparkException, pa.ArrowInvalid) as e:
+        except (PySparkException, Py4JJavaError, pa.ArrowInvalid) as e:
             raise SourceError(f"{self.path}: {e}") from e
         return Rowset(rows, T.StructType([T.StructField(f.name, f.dataType, f.name not in required) for f in rows.schema]))
 
@@ -125,7 +126,7 @@ class JdbcSource:
         options = jdbc_options(self.connection, self.query, self.batch_rows)
         try:
             rows = spark.read.format("jdbc").options(**options).load()
-        except Exception as e:
+        except (PySparkException, Py4JJavaError) as e:
             raise SourceError(f"the database can't be read: {e}") from e
         check_sql_types(rows.schema)
         return Rowset(rows, all_nullable(rows.schema))
