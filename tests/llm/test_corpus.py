@@ -363,3 +363,16 @@ def test_pipeline(spark, sample):
     got = corpus_pipeline.run(spark, sample).orderBy("start").collect()
     assert [r.doc_id for r in got] == [r.doc_id for r in kept]
     assert sum(r.n_tokens for r in got) == sum(len(ids) for _, ids in plain_tokens([(r.doc_id, r.text) for r in kept]))
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_queries_against_sql(spark, sample, name):
+    import duckdb
+
+    with duckdb.connect() as con:
+        for table in ("documents", "benchmark", "pages"):
+            con.execute(f"create view {table} as select * from read_parquet('{sample}/{table}.parquet')")
+        got = queries.queries()[name](spark, sample)
+        columns = ", ".join(sorted(got.columns))
+        want = con.execute(f"select {columns} from ({queries.oracle_sql()[name]})").fetchall()
+    assert sorted(map(repr, (tuple(r) for r in got.select(*sorted(got.columns)).collect()))) == sorted(map(repr, want))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import decontamination, fingerprints, language, mixing, pii, quality, secrets, simhash, tokens, warc
+from tidewell.llm import decontamination, fingerprints, language, mixing, pii, quality, secrets, simhash, sql, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,7 +33,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("hit_spans")
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,25 +71,5 @@ def queries() -> dict[str, Query]:
     }
 
 
-OP6_SQL = r"""
-with p as (
-    select page_id, coalesce(html, '') as html, regexp_replace(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') as bare from pages
-), d as (
-    select *, strlen(html) as n, sha256(html) as digest,
-        regexp_replace(lower(regexp_extract(bare, '^(?:[^/?#@]*@)?([^/?#:]*)', 1)), '^www[0-9]*\.', '') as host,
-        regexp_extract(bare, '^[^/?#]*([^#]*)', 1) as path
-    from p
-), f as (
-    select *, case when n >= 100 then min(page_id) over (partition by digest) end as first from d
-)
-select page_id, n as payload_bytes, digest as payload_digest,
-    case when first is null or first = page_id then 'response' else 'revisit' end as record_type,
-    case when first <> page_id then first end as refers_to,
-    array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || case when path = '' then '/' else path end as urlkey,
-    1704067200 + page_id % 31536000 as captured
-from f
-"""
-
-
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc": OP6_SQL}
+    return {"op5_decontamination": sql.OP5_SQL, "op6_warc": sql.OP6_SQL, "op7_secrets": sql.OP7_SQL}
