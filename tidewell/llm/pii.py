@@ -441,19 +441,23 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_doc
 
 # --- the operator --------------------------------------------------------------------------------------------------
 
-_AT = re.compile(r"@|\bat\b")
+#: What a span that the model adds must hold; the rest of it is left out.
+CORES = (
+    re.compile(r"[\w.%+-]+(?:@| at |\(at\)| ?\[at\] ?)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
+    re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])"),
+    re.compile(r"[0-9](?:[\x20./-]?[0-9])+"),
+    re.compile(r"\+?[0-9(][0-9().\x20/-]*[0-9]"),
+)
 
 
 def plausible(kind: int, found: str) -> bool:
     """The plain check of a span that the model adds."""
     name, number = KINDS[kind], digits(found)
-    if name == "email":
-        return bool(_AT.search(found)) and "." in found and len(found) >= 7
     if name == "ip":
-        return bool(re.fullmatch(r"[0-9]{1,3}(\.[0-9]{1,3}){3}", found)) and valid("ip", found)
+        return valid("ip", found)
     if name == "card":
         return 13 <= len(number) <= 19 and luhn(number)
-    return 9 <= len(number) <= 15 and bool(re.fullmatch(r"\+?[0-9(][0-9().\x20/-]*[0-9]", found)) and bool(re.search(r"[-()\x20+/]", found))
+    return name != "phone" or 9 <= len(number) <= 15 and bool(re.search(r"[-()\x20+/]", found))
 
 
 def all_spans(texts: list[str], tagger: Tagger) -> list[tuple[list, list]]:
@@ -463,10 +467,9 @@ def all_spans(texts: list[str], tagger: Tagger) -> list[tuple[list, list]]:
         base = base_spans(text)
         added = []
         for kind, a, b in tagged:
-            a += len(text[a:b]) - len(text[a:b].lstrip())
-            b -= len(text[a:b]) - len(text[a:b].rstrip(" \n\t.,;:"))
-            if a < b and all(b <= s or e <= a for _, s, e in base) and plausible(kind, text[a:b]):
-                added.append((kind, a, b))
+            core = max(CORES[kind].finditer(text, a, b), key=lambda m: m.end() - m.start(), default=None)
+            if core and all(core.end() <= s or e <= core.start() for _, s, e in base) and plausible(kind, core.group()):
+                added.append((kind, *core.span()))
         out.append((base, sorted(base + added)))
     return out
 
