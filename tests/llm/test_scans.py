@@ -4,7 +4,6 @@ import hashlib
 import random
 import re
 
-import ahocorasick
 import numpy as np
 import pytest
 
@@ -208,16 +207,16 @@ def test_larger_benchmarks_take_more_passes(spark, make, monkeypatch):
     whole = sorted(map(repr, decontamination.contamination(make(docs), bench).collect()))
     clean = sorted(r.doc_id for r in decontamination.clean_documents(make(docs), bench).collect())
     monkeypatch.setattr(decontamination, "AUTOMATON_BYTES", 700)
-    assert len(decontamination.patterns(bench)) > 2
+    assert len(list(decontamination.patterns(bench))) > 2
     assert sorted(map(repr, decontamination.contamination(make(docs), bench).collect())) == whole
     assert sorted(r.doc_id for r in decontamination.clean_documents(make(docs), bench).collect()) == clean
 
 
 def test_hits_are_mapped_to_the_text(spark, make):
-    bench = spark.createDataFrame([(1, "Été, two; three")], "item_id long, text string")
+    bench = spark.createDataFrame([(1, "été, Two; three")], "item_id long, text string")
     row = decontamination.contamination(make([(1, "漢 – été... TWO\n(three) four été two three")]), bench).head()
     text = "漢 – été... TWO\n(three) four été two three"
-    assert [text[s.start : s.end] for s in row.hit_spans] == ["été... TWO\n(three", "été two three"] or [text[s.start : s.end] for s in row.hit_spans] == []
+    assert [text[s.start : s.end] for s in row.hit_spans] == ["été... TWO\n(three", "été two three"]
 
 
 def test_empty_sides(spark, make):
@@ -226,4 +225,3 @@ def test_empty_sides(spark, make):
     assert (row.n_words, row.n_hit, row.contaminated) == (2, 0, False)
     assert decontamination.contamination(make([]), empty).collect() == []
     assert decontamination.clean_documents(make([(1, "some text"), (2, None)]), empty).count() == 2
-    assert isinstance(ahocorasick.Automaton(), ahocorasick.Automaton)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.llm.arrow import by_batch, text_bytes
+from tidewell.llm.arrow import by_batch, claim, text_bytes
 from tidewell.llm.common import written
 
 WINDOW = 13
@@ -74,21 +74,24 @@ def word_offsets(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return points[np.flatnonzero(edge == 1)], points[np.flatnonzero(edge == -1)]
 
 
-def patterns(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> list[list[tuple[bytes, tuple[str, ...]]]]:
-    """Windows with the ids of their items, in lists of at most AUTOMATON_BYTES. A null id counts as an empty one."""
+def patterns(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[list[tuple[bytes, tuple[str, ...]]]]:
+    """Windows with the ids of their items, in lists of some AUTOMATON_BYTES; at least one. A null id counts as an empty one.
+
+    Items are read one at a time, so that the driver holds one list. A window that lies in items of several lists is in each.
+    """
     keys: dict[bytes, set[str]] = {}
+    held = given = 0
     rows = benchmark.select(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")), F.col(f"`{text_col}`")).filter(F.col(f"`{text_col}`").isNotNull())
     for item, text in rows.toLocalIterator():
         for key in windows_of(text.encode()):
+            if key not in keys:
+                held += len(key)
             keys.setdefault(key, set()).add(item)
-    lists, held = [[]], 0
-    for key in sorted(keys):
-        if held + len(key) > AUTOMATON_BYTES:
-            lists.append([])
-            held = 0
-        lists[-1].append((key, tuple(sorted(keys[key]))))
-        held += len(key)
-    return lists
+            if held > AUTOMATON_BYTES:
+                yield [(k, tuple(sorted(v))) for k, v in sorted(keys.items())]
+                keys, held, given = {}, 0, given + 1
+    if keys or not given:
+        yield [(k, tuple(sorted(v))) for k, v in sorted(keys.items())]
 
 
 def _spans(text: bytes, hit: np.ndarray) -> list[dict]:
@@ -115,6 +118,7 @@ def marked(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> Dat
         digest, held = hashlib.sha256(repr(keys).encode()).hexdigest(), spark.sparkContext.broadcast(keys)
 
         def mark(batch: pa.RecordBatch, again: bool = k > 0, digest: str = digest, held: Broadcast = held) -> pa.RecordBatch:
+            claim("decontamination", _automaton.cache_clear)
             machine, out = _automaton(digest, held), []
             earlier = zip(batch.column(batch.num_columns - 3).to_pylist(), batch.column(batch.num_columns - 2).to_pylist()) if again else None
             for text in text_bytes(batch.column(place)):
