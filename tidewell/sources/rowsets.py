@@ -152,7 +152,10 @@ def _arrow_schema(schema: T.StructType) -> pa.Schema:
 
 
 def batch_of(order: list[Column], batch_rows: int = BATCH_ROWS) -> Column:
-    """The batch of each row, from 0, when rows in the given order are cut into batches of batch_rows."""
+    """The batch of each row, from 0, when rows in the given order are cut into batches of batch_rows.
+
+    It numbers all rows in one task, and suits tests: loads don't batch rows, tasks write as they read.
+    """
     return F.floor((F.row_number().over(Window.orderBy(*order)) - 1) / batch_rows)
 
 
