@@ -42,8 +42,10 @@ def test_simhash_of_edge_texts(edges):
 def test_long_texts_are_counted_in_parts(monkeypatch):
     text = words(random.Random(1), 500).encode()
     whole = simhash.simhash(text)
-    monkeypatch.setattr(simhash, "COUNTED", 64)
-    assert simhash.simhash(text) == whole
+    for size in (1, 7, 64, 1000):
+        monkeypatch.setattr(simhash, "PIECE", size)
+        assert simhash.simhash(text) == whole == plain_simhash(text.decode())
+        assert simhash.simhash(b"a  b") == plain_simhash("a  b")
 
 
 def test_components_against_brute_force(spark, make):

@@ -9,6 +9,7 @@ instead of all of them, so no group's links grow with its square, and connected
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,26 +29,39 @@ SEED = 42
 BANDS, BAND_BITS = RADIUS + 1, 16
 #: Rows of a tile, and of a block that one task compares alone.
 TILE, HEAVY = 1024, 16384
-#: Shingles whose bits are counted at once.
-COUNTED = 1 << 18
+#: Bytes of a text whose shingles are hashed at once, about.
+PIECE = 1 << 21
 
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
+def _pieces(text: bytes) -> Iterator[list[bytes]]:
+    """The words of the text in turn, some PIECE bytes at a time: a very long text's words are never held at once."""
+    at = 0
+    while at < len(text):
+        cut = _SPACE.search(text, at + PIECE) if at + PIECE < len(text) else None
+        end = cut.end() if cut else len(text)
+        yield text[at:end].split()
+        at = end
+
+
 def simhash(text: bytes) -> int:
     """The 64-bit fingerprint of a UTF-8 text: a bit is set if it is set in over half the shingles' hashes."""
-    words = text.translate(_LOWER).split()
-    if not words:
-        return 0
-    flat = b" ".join(words)
-    n = max(1, len(words) - SHINGLE + 1)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    starts = np.concatenate(([0], ends[: n - 1])).tolist()
-    stops = (ends[min(SHINGLE, len(words)) - 1 :] - 1).tolist()
-    digest, counts = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
-    for k in range(0, n, COUNTED):
-        hashes = np.array([digest(flat[a:b], SEED) for a, b in zip(starts[k : k + COUNTED], stops[k : k + COUNTED])], np.dtype("<u8"))
+    held, n, counts, digest = [], 0, np.zeros(64, np.int64), xxhash.xxh64_intdigest
+    for words in _pieces(text.translate(_LOWER)):
+        held += words
+        if len(held) < SHINGLE:
+            continue
+        flat = b" ".join(held)
+        ends = np.cumsum(np.fromiter(map(len, held), np.int64, len(held)) + 1)
+        starts = np.concatenate(([0], ends[:-SHINGLE])).tolist()
+        hashes = np.array([digest(flat[a:b], SEED) for a, b in zip(starts, (ends[SHINGLE - 1 :] - 1).tolist())], np.dtype("<u8"))
         counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        n += len(hashes)
+        held = held[1 - SHINGLE :]
+    if not n:
+        return digest(b" ".join(held), SEED) if held else 0
     return int.from_bytes(np.packbits(counts * 2 > n, bitorder="little").tobytes(), "little")
 
 
