@@ -22,9 +22,9 @@ BUCKETS = 1 << 14
 #: Documents that the scorer is fitted on, about: the documented bound of its sample.
 FIT_DOCS = 6000
 STEPS, RATE, DECAY = 150, 0.5, 1e-4
-#: Tokens whose features a worker keeps.
-KEPT_TOKENS = 300_000
 KEEP_SCORE = 0.4
+#: Bytes of text that are read at once: each takes some 100 bytes of working memory.
+PIECE_BYTES = 3 << 20
 
 # Frequent short words of four languages, and plain insults.
 STOP_WORDS = frozenset(
@@ -37,99 +37,95 @@ INSULTS = frozenset("idiot moron scum worthless stupid disgusting pathetic trash
 
 #: Votes.
 BAD, GOOD, NONE = 0, 1, 2
-#: Attributes of a token: characters, letters, capitals, symbols, decorated (it ends with two signs or more), plain
-#: (letters with a sign at most), sentence end, stop word, bar, insult, and the buckets of its word and its shape.
-ATTRIBUTES = 12
-_KNOWN = 0x250  # code points beyond are taken as letters without case
+#: Code points beyond are taken as letters without case.
+_KNOWN = 0x3100
+_SPACE, _LETTER, _CAPITAL, _DIGIT, _SYMBOL, _END, _BAR = (1 << k for k in range(7))
+
+
+def _flags_of(c: str) -> int:
+    tests = (c.isspace(), c.isalpha(), c.isupper(), c.isdigit(), c in "#$%&*{}<>~^\\=_@+|", c in ".!?…", c in "|»•·")
+    return sum(1 << k for k, x in enumerate(tests) if x)
+
+
 _POINTS = [chr(c) for c in range(_KNOWN)]
-_IS_LETTER = np.array([c.isalpha() for c in _POINTS] + [True])
-_IS_CAPITAL = np.array([c.isupper() for c in _POINTS] + [False])
-_IS_DIGIT = np.array([c.isdigit() for c in _POINTS] + [False])
-_IS_SYMBOL = np.array([c in "#$%&*{}<>~^\\=_@+|" for c in _POINTS] + [False])
-_IS_END = np.array([c in ".!?…" for c in _POINTS] + [False])
-_LOWER = np.array([ord(x) if len(x := c.lower()) == 1 else ord(c) for c in _POINTS] + [0], np.uint64)
+_FLAGS = np.array([_flags_of(c) for c in _POINTS] + [_LETTER], np.uint8)
+_LOWER = np.array([ord(x) if len(x := c.lower()) == 1 else ord(c) for c in _POINTS] + [0], np.uint32)
 _POWERS = np.cumprod(np.full(64, 0x100000001B3, np.uint64), dtype=np.uint64) | np.uint64(1)
 
 
-def _bucket(value: np.ndarray, first: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Buckets of the sums of hashed values by token; place: where each value stands in its token."""
-    mixed = (value + np.uint64(0x9E3779B97F4A7C15)) * _POWERS[place % 64]
-    total = np.add.reduceat(mixed ^ (mixed >> np.uint64(29)), first)
-    return ((total * np.uint64(0xFF51AFD7ED558CCD)) >> np.uint64(40)).astype(np.int64) % BUCKETS
-
-
-def attributes(tokens: list[str]) -> np.ndarray:
-    """ATTRIBUTES x tokens."""
-    points = np.frombuffer("".join(tokens).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-    size = np.fromiter(map(len, tokens), np.int64, len(tokens))
-    first = np.concatenate(([0], np.cumsum(size)[:-1]))
-    place = np.arange(len(points)) - np.repeat(first, size)
-    known = np.minimum(points, _KNOWN)
-    letter, capital, digit = _IS_LETTER[known], _IS_CAPITAL[known], _IS_DIGIT[known]
-    sign = ~letter & ~digit
-    total = lambda x: np.add.reduceat(x.astype(np.int64), first)
-    last = first + size - 1
-    letters, signs = total(letter), total(sign)
-    decorated = sign[last] & sign[np.maximum(last - 1, first)] & (size > 1)
-    plain = (letters == size) | ((letters == size - 1) & sign[last])
-    bare = [t.lower().strip(".,;:!?\"'()[]*#$%&") for t in tokens]
-    lower = np.where(known < _KNOWN, _LOWER[known], points.astype(np.uint64))
-    word = _bucket(np.where(sign, np.uint64(0), lower + np.uint64(1)), first, np.where(sign, 63, place))
-    kind = np.where(capital, 1, np.where(letter, 2, np.where(digit, 3, points + 4)))
-    new = np.concatenate(([True], (kind[1:] != kind[:-1]) | (place[1:] == 0)))
-    run = np.cumsum(new)
-    shape = _bucket(np.where(new, kind, 0).astype(np.uint64), first, np.where(new, run - np.repeat(run[first], size), 63))
-    said = lambda words: np.fromiter((w in words for w in bare), np.int64, len(tokens))
-    bar = np.fromiter((t in ("|", "»", "•", "·") for t in tokens), np.int64, len(tokens))
-    return np.stack([size, letters, total(capital), total(_IS_SYMBOL[known]), decorated, plain, _IS_END[known][last], said(STOP_WORDS), bar, said(INSULTS), word, shape]).astype(np.int32)
-
-
-class _Tokens:
-    """Attributes of tokens, kept by a worker."""
-
-    def __init__(self) -> None:
-        self.index: dict[str, int] = {}
-        self.table = np.empty((ATTRIBUTES, 0), np.int32)
-
-    def places(self, tokens: list[str]) -> np.ndarray:
-        if len(self.index) > KEPT_TOKENS:
-            self.__init__()
-        get = self.index.get
-        found = [get(t, -1) for t in tokens]
-        if -1 in found:
-            new = list(dict.fromkeys(t for t, p in zip(tokens, found) if p < 0))
-            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
-            self.table = np.concatenate((self.table, attributes(new)), axis=1)
-            found = [p if p >= 0 else get(t) for t, p in zip(tokens, found)]
-        return np.array(found, np.int64)
-
-
-_tokens = _Tokens()
-
-
-def _grouped(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The document of each token, and the token's place in the table of attributes (equal for equal tokens)."""
-    split = [t.split() for t in texts]
-    doc = np.repeat(np.arange(len(texts)), [len(x) for x in split])
-    return doc, _tokens.places([t for x in split for t in x])
-
-
-def votes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Votes of the labellers on each text (texts x labellers), and whether it holds insults."""
-    return _votes(texts, *_grouped(texts))
+class Tokens:
+    """The tokens of some texts, runs of characters that are not white space: the text, signs and hashes of each.
 
+    All characters are handled side by side; no Python runs for a token. `word` hashes a token's letters and digits in
+    lower case, `shape` the runs of capitals, letters, digits and signs in it.
+    """
 
-def _votes(texts: list[str], doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    n = len(texts)
-    total = lambda x: np.bincount(doc, x, n)
+    def __init__(self, texts: list[str]) -> None:
+        self.n = len(texts)
+        points = np.frombuffer((" ".join(texts) + " ").encode("utf-32-le", "surrogatepass"), "<u4")
+        known = np.minimum(points, _KNOWN)
+        flags = _FLAGS[known]
+        space = flags & _SPACE != 0
+        edge = np.diff(np.concatenate(([True], space, [True])).view(np.int8))  # -1 where a token begins, 1 behind its end
+        first, stop = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        ends = np.cumsum([len(t) + 1 for t in texts]) if texts else np.empty(0, int)
+        self.doc, self.size = np.searchsorted(ends, first, "right"), stop - first
+        count = lambda x: np.add.reduceat(x, first, dtype=np.int32) if len(first) else np.empty(0, np.int32)
+        letter, digit = flags & _LETTER != 0, flags & _DIGIT != 0
+        alike = letter | digit
+        sign = ~alike & ~space
+        self.letters, self.capitals, self.symbols = count(letter), count(flags & _CAPITAL != 0), count(flags & _SYMBOL != 0)
+        last = stop - 1
+        self.decorated = sign[last] & sign[np.maximum(last - 1, first)] & (self.size > 1)
+        self.plain = (self.letters == self.size) | ((self.letters == self.size - 1) & sign[last])
+        self.ends, self.bar = flags[last] & _END != 0, (flags[first] & _BAR != 0) & (self.size == 1)
+        kind = np.where(flags & _CAPITAL != 0, 1, np.where(letter, 2, np.where(digit, 3, known + np.uint32(4)))).astype(np.uint32)
+        new = ~space
+        new[1:] &= (kind[1:] != kind[:-1]) | space[:-1]
+        lower = np.where(known < _KNOWN, _LOWER[known], points)
+        token = np.cumsum(edge[:-1] == -1, dtype=np.int32) - 1 if len(first) else np.empty(0, np.int32)
+        self.word, self.shape = self._hash(lower, alike, first, token), self._hash(kind, new, first, token)
+
+    @staticmethod
+    def _hash(value: np.ndarray, own: np.ndarray, first: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """A hash of each token's own values in their order; token: the token of each character."""
+        if not len(first):
+            return np.empty(0, np.uint64)
+        at = np.flatnonzero(own)
+        before = np.cumsum(own, dtype=np.int32)[first] - own[first]  # number of own values before each token
+        mixed = (value[at].astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) * _POWERS[(np.arange(len(at), dtype=np.int32) - before[token[at]]) & 63]
+        mixed ^= mixed >> np.uint64(29)
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)))
+        ended = np.concatenate((before[1:], [len(at)]))
+        out = (total[ended] - total[before]) * np.uint64(0xFF51AFD7ED558CCD)
+        return out ^ (out >> np.uint64(32))
+
+    def total(self, values: np.ndarray) -> np.ndarray:
+        """Sums by text."""
+        return np.bincount(self.doc, values, self.n)
+
+
+_STOP_HASHES, _INSULT_HASHES = (np.sort(Tokens([" ".join(sorted(words))]).word) for words in (STOP_WORDS, INSULTS))
+
+
+def _said(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return words[np.minimum(np.searchsorted(words, hashes), len(words) - 1)] == hashes
+
+
+def votes(texts: list[str], tokens_: Tokens | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Votes of the labellers on each text (texts x labellers), and whether it holds insults."""
+    found = tokens_ or Tokens(texts)
+    n, doc = len(texts), found.doc
     tokens = np.bincount(doc, minlength=n).astype(float)
     some = np.maximum(tokens, 1)
-    chars, letters, capitals, symbols, decorated, plain, ends, stops, bars, insults = (total(_tokens.table[k][place]) for k in range(10))
-    step = len(_tokens.index) + 1
-    key, count = np.unique(doc * step + place, return_counts=True)
-    different = np.bincount(key // step, minlength=n).astype(float)
+    chars, letters, capitals, symbols, decorated, plain, ends, bars = map(found.total, (found.size, found.letters, found.capitals, found.symbols, found.decorated, found.plain, found.ends, found.bar))
+    stops, insults = found.total(_said(found.word, _STOP_HASHES)), found.total(_said(found.word, _INSULT_HASHES))
+    key, count = np.unique((doc.astype(np.uint64) << np.uint64(40)) | (found.word >> np.uint64(24)), return_counts=True)
+    step, place = np.uint64(1 << 40), found.word
+    owner = (key // step).astype(np.int64)
+    different = np.bincount(owner, minlength=n).astype(float)
     top = np.zeros(n)
-    np.maximum.at(top, key // step, count)
+    np.maximum.at(top, owner, count)
 
     def repeats(by: int) -> np.ndarray:
         return np.bincount(doc[by:][(place[by:] == place[:-by]) & (doc[by:] == doc[:-by])], minlength=n) / some
@@ -165,19 +161,18 @@ def _votes(texts: list[str], doc: np.ndarray, place: np.ndarray) -> tuple[np.nda
     return np.stack(columns, axis=1), insults > 0
 
 
-def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def features(texts: list[str], tokens_: Tokens | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashed features of the texts: document, bucket, and value, the square root of its share of the document's features."""
-    return _features(len(texts), *_grouped(texts))
-
-
-def _features(n: int, doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    parts = [doc * BUCKETS + _tokens.table[10][place], doc * BUCKETS + _tokens.table[11][place]]
+    found = tokens_ or Tokens(texts)
+    doc, parts = found.doc, []
+    for hashes in (found.word, found.shape):
+        parts.append(doc * BUCKETS + (hashes >> np.uint64(40)).astype(np.int64) % BUCKETS)
     for by in (1, 2):
-        again = (place[by:] == place[:-by]) & (doc[by:] == doc[:-by])
+        again = (found.word[by:] == found.word[:-by]) & (doc[by:] == doc[:-by])
         parts.append(doc[by:] * BUCKETS + np.where(again, 2 * by, 2 * by + 1))
     key, count = np.unique(np.concatenate(parts), return_counts=True)
     own = key // BUCKETS
-    whole = np.bincount(own, count, n)
+    whole = np.bincount(own, count, found.n)
     return own, key % BUCKETS, np.sqrt(count / np.maximum(whole[own], 1))
 
 
@@ -234,7 +229,7 @@ def fit(own: np.ndarray, bucket: np.ndarray, value: np.ndarray, label: np.ndarra
 
 def _vote_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in pieces(batch):
+        for piece in pieces(batch, limit=PIECE_BYTES):
             found, insults = votes(text_strings(piece.column(1)))
             words = ["".join(map(str, v)) for v in found.tolist()]
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(words, pa.string()), pa.array(insults, pa.bool_())], ["id", "pattern", "toxic"])
@@ -242,11 +237,11 @@ def _vote_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in pieces(batch):
+        for piece in pieces(batch, limit=PIECE_BYTES):
             texts = text_strings(piece.column(1))
-            grouped = _grouped(texts)
-            found, _ = _votes(texts, *grouped)
-            own, bucket, value = _features(len(texts), *grouped)
+            read = Tokens(texts)
+            found, _ = votes(texts, read)
+            own, bucket, value = features(texts, read)
             cuts = np.searchsorted(own, np.arange(1, len(texts)))
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(["".join(map(str, v)) for v in found.tolist()]), pa.array(np.split(bucket.astype(np.int32), cuts), pa.list_(pa.int32())), pa.array(np.split(value.astype(np.float32), cuts), pa.list_(pa.float32()))], ["id", "pattern", "buckets", "values"])
 
@@ -290,11 +285,11 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fi
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, known = held.value
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, limit=PIECE_BYTES):
                 texts = text_strings(piece.column(1))
-                grouped = _grouped(texts)
-                found, toxic = _votes(texts, *grouped)
-                words, scores = ["".join(map(str, v)) for v in found.tolist()], own.scores(len(texts), *_features(len(texts), *grouped))
+                read = Tokens(texts)
+                found, toxic = votes(texts, read)
+                words, scores = ["".join(map(str, v)) for v in found.tolist()], own.scores(len(texts), *features(texts, read))
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(scores), pa.array(words, pa.string()), pa.array([known.get(w, 0.5) for w in words], pa.float64()), pa.array(toxic, pa.bool_()), pa.array((scores >= KEEP_SCORE) & ~toxic)], ["doc_id", "quality", "pattern", "weak_label", "toxic", "keep"])
 
     return rows.mapInArrow(judge, f"doc_id {dict(rows.dtypes)['doc_id']}, quality double, pattern string, weak_label double, toxic boolean, keep boolean")
