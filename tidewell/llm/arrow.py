@@ -11,6 +11,16 @@ import pyarrow.compute as pc
 BATCH_BYTES = 8 << 20
 
 
+_holder: list = [None, None]
+
+
+def claim(owner: str, release: Callable[[], None]) -> None:
+    """Says whose tables a worker keeps from now on. Workers serve many tasks; another operator's tables are let go."""
+    if _holder[0] not in (None, owner):
+        _holder[1]()
+    _holder[:] = [owner, release]
+
+
 def pieces(batch: pa.RecordBatch, text: int = 1, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in slices of consecutive rows whose texts have at most limit bytes; a longer text is alone."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()

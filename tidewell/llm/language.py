@@ -19,7 +19,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.arrow import pieces, text_strings
+from tidewell.llm.arrow import claim, pieces, text_strings
 from tidewell.llm.common import written
 
 BUCKETS = 1 << 16
@@ -208,8 +208,15 @@ _rows: list[np.ndarray] = []
 _owner: list[str] = []
 
 
+def _forget() -> None:
+    _words.clear()
+    _rows.clear()
+    _owner.clear()
+
+
 def _scores(words: list[str], model: Model) -> np.ndarray:
     """Scores of words, kept by the worker."""
+    claim("language", _forget)
     if _owner != [model.key] or len(_words) > KEPT_WORDS:
         _words.clear()
         _rows[:] = [np.empty((0, len(model.languages)), np.float32)]

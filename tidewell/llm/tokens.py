@@ -17,8 +17,10 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidewell.llm.arrow import pieces, text_strings
+from tidewell.llm.arrow import claim, pieces, text_strings
 from tidewell.llm.common import partitions, prefix_sum, shared_path, written
 from tidewell.llm.storage import create, open_input, remove
 
@@ -36,12 +38,12 @@ from tidewell.llm.storage import create, open_input, remove
 END = 1
 WIDTH = 2
 #: The rolling hash covers this many ids; a chunk ends where MASK_BITS of its bits are zero, or at MOST ids.
-ROLL, MASK_BITS, MOST = 16, 10, 8192
+ROLL, MASK_BITS, MOST = 16, 11, 16384
 #: Unpacked bytes of a block, about. A pack goes on in a new file beyond PACK_BYTES.
 BLOCK_BYTES, PACK_BYTES = 1 << 17, 1 << 28
 LEVEL = 1
 #: Words, and blocks, that a worker keeps.
-KEPT_WORDS, KEPT_BLOCKS = 500_000, 64
+KEPT_WORDS, KEPT_BLOCKS = 700_000, 64
 
 # Letters and digits of ASCII and Latin-1 as the tokenizer's pattern has them, in lower case.
 _LETTER = "a-zß-öø-ÿ"
@@ -58,34 +60,61 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Encoder:
-    """Encodes texts by the tokenizers library; the ids of a piece of a plain text are found once and kept."""
+    """Encodes texts by the tokenizers library; the ids of a plain text's words are found once, and kept."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.letters, self.kept = _byte_letters(), {}
-        width = max(self.tokenizer.get_vocab().values())
-        if width >= 1 << 8 * WIDTH:
-            raise ValueError(f"id {width} doesn't fit into {WIDTH} bytes")
-
-    def _piece(self, word: str) -> bytes:
-        found = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
-        return np.array([t.id for t in found], "<u2").tobytes()
+        self.letters, self.words, self.signs = _byte_letters(), {}, {}
+        most = max(self.tokenizer.get_vocab().values())
+        if most >= 1 << 8 * WIDTH:
+            raise ValueError(f"id {most} doesn't fit into {WIDTH} bytes")
+
+    def _piece(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        return _packed([t.id for t in self.tokenizer.model.tokenize(shown)])
+
+    def _word(self, word: str) -> bytes:
+        if word.isalpha():
+            return self._piece(word)
+        parts, signs = [], self.signs
+        for piece in _PIECE.findall(word):
+            if piece.isalpha():
+                parts.append(self._piece(piece))
+            else:
+                if piece not in signs:
+                    signs[piece] = self._piece(piece)
+                parts.append(signs[piece])
+        return b"".join(parts)
 
     def ids(self, text: str) -> bytes:
         """The text's ids and END, as little-endian unsigned integers of WIDTH bytes."""
-        end = END.to_bytes(WIDTH, "little")
         if not _PLAIN.fullmatch(text) or "<|" in text:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes() + end
-        if len(self.kept) > KEPT_WORDS:
-            self.kept.clear()
-        kept, words = self.kept, _PIECE.findall(text.lower())
-        try:
-            return b"".join([kept[w] for w in words]) + end
-        except KeyError:
-            for w in set(words):
-                if w not in kept:
-                    kept[w] = self._piece(w)
-            return b"".join([kept[w] for w in words]) + end
+            return _packed([*self.tokenizer.encode(text, add_special_tokens=False).ids, END])
+        if len(self.words) > KEPT_WORDS or len(self.signs) > KEPT_WORDS // 8:
+            self.words.clear()
+            self.signs.clear()
+        kept, words = self.words, text.lower().split()
+        found = list(map(kept.get, words))
+        if None in found:
+            for k, ids in enumerate(found):
+                if ids is None:
+                    word = words[k]
+                    ids = kept.get(word)
+                    if ids is None:
+                        ids = kept[word] = self._word(word)
+                    found[k] = ids
+        found.append(_END)
+        return b"".join(found)
+
+
+def _packed(ids: list[int]) -> bytes:
+    out = array("H", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
+_END = _packed([END])
 
 
 @functools.lru_cache(maxsize=1)
@@ -96,17 +125,27 @@ def _encoder(path: str) -> Encoder:
 _GEAR = np.random.default_rng(20240229).integers(0, 1 << 63, 1 << 16, np.uint64)
 
 
-def cuts(ids: np.ndarray) -> np.ndarray:
-    """Ends of the chunks of one stream of ids. A cut depends on the ROLL ids before it alone, but for the limit MOST."""
-    gear, rolled = _GEAR[ids], np.zeros(len(ids), np.uint64)
-    for k in range(min(ROLL, len(ids))):
-        rolled[k:] += gear[: len(ids) - k] << np.uint64(k)
-    ends = np.flatnonzero((rolled >> np.uint64(40)) & np.uint64((1 << MASK_BITS) - 1) == 0) + 1
-    ends = np.append(ends[ends < len(ids)], len(ids))
-    gaps = np.diff(ends, prepend=0)
+def cuts(ids: np.ndarray, lengths: list[int]) -> np.ndarray:
+    """Ends of the chunks of streams of ids that follow each other; each stream's end is one.
+
+    The rolling hash is the sum over the last ROLL ids of a random number for each pair of neighbours. A stream's first
+    ROLL ids make no cut, so that a cut depends on the ids of its own stream alone, and but for the limit MOST on the ROLL
+    ids before it.
+    """
+    ends = np.cumsum(lengths)
+    gear = _GEAR[ids]
+    pairs = gear.copy()
+    pairs[1:] += gear[:-1] << np.uint64(1)
+    total = np.cumsum(pairs, dtype=np.uint64)
+    rolled = total[ROLL:] - total[:-ROLL]
+    found = np.flatnonzero((rolled >> np.uint64(40)) & np.uint64((1 << MASK_BITS) - 1) == 0) + ROLL + 1
+    own = np.searchsorted(ends, found, "left")  # a cut after the last id of a stream is its end
+    found = found[found - (ends - lengths)[np.minimum(own, len(ends) - 1)] > ROLL + 1]
+    found = np.union1d(found, ends)
+    gaps = np.diff(found, prepend=0)
     if gaps.max(initial=0) <= MOST:
-        return ends
-    return np.concatenate([np.append(np.arange(e - g + MOST, e, MOST), e) for e, g in zip(ends, gaps)])
+        return found
+    return np.concatenate([np.append(np.arange(e - g + MOST, e, MOST), e) for e, g in zip(found, gaps)])
 
 
 def merkle(leaves: list[bytes]) -> bytes:
@@ -174,21 +213,25 @@ def _encode(path: str, folder: str):
     names = ["doc_id", "n_tokens", "root", "addresses", "places"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("tokens", _encoder.cache_clear)
         encoder, packs, met = _encoder(path), _PackWriter(folder, "raw"), set()
         for batch in batches:
             for piece in pieces(batch):
-                rows = []
-                for doc, text in zip(piece.column(0).to_pylist(), text_strings(piece.column(1))):
-                    data = encoder.ids(text)
-                    ids, at, own = np.frombuffer(data, "<u2"), 0, []
-                    for end in (cuts(ids) * WIDTH).tolist():
-                        chunk = data[at:end]
+                streams = [encoder.ids(t) for t in text_strings(piece.column(1))]
+                lengths = [len(x) // WIDTH for x in streams]
+                data = b"".join(streams)
+                ends, rows, at, k = (cuts(np.frombuffer(data, "<u2"), lengths) * WIDTH).tolist(), [], 0, 0
+                last = 0
+                for doc, n in zip(piece.column(0).to_pylist(), lengths):
+                    own, last = [], last + n * WIDTH
+                    while at < last:
+                        chunk = data[at : ends[k]]
                         own.append(address := hashlib.sha256(chunk).digest())
                         if address not in met:
                             met.add(address)
                             packs.add(address, chunk)
-                        at = end
-                    rows.append((doc, len(ids), merkle(own), own, _places(packs.taken())))
+                        at, k = ends[k], k + 1
+                    rows.append((doc, n, merkle(own), own, _places(packs.taken()) if packs.places else []))
                 if len(met) > 1 << 20:  # a later copy is written again, and one of both is chosen as the owner
                     met.clear()
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
