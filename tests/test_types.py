@@ -22,7 +22,7 @@ def test_typmod():
 
 
 def test_unknown_type_says_what_to_do():
-    with pytest.raises(UnsupportedTypeError, match="Explicitly cast the relevant columns to text"):
+    with pytest.raises(UnsupportedTypeError, match="Cast such columns to text"):
         pg_type_to_spark("uuid")
     with pytest.raises(UnsupportedTypeError):
         check_sql_types(T.StructType([T.StructField("a", T.ArrayType(T.StringType()))]))

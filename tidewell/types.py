@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tidewell.errors import BadInputError, TableFormatError, UnsupportedTypeError
 
-ADVICE = "Explicitly cast the relevant columns to text"
+ADVICE = "Cast such columns to text, or to another type that is taken, in the query"
 
 # The database types that a SQL source may return, and what each becomes.
 PG_TYPES: dict[str, T.DataType] = {
