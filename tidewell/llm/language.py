@@ -36,6 +36,8 @@ SCRIPT_SHARE = 0.005
 BLOCK = 64
 #: Words whose scores a worker keeps.
 KEPT_WORDS = 400_000
+#: Words whose n-grams, and bytes of text whose words, are held at once.
+WORDS, PIECE_BYTES = 16_384, 3 << 20
 UNKNOWN = "und"
 
 # First code points of Unicode blocks, and the script that holds from there on.
@@ -102,6 +104,8 @@ class Model:
         """words x languages."""
         if not words:
             return np.empty((0, len(self.languages)), np.float32)
+        if len(words) > WORDS:
+            return np.concatenate([self.score(words[k : k + WORDS]) for k in range(0, len(words), WORDS)])
         bucket, owner, script, holder = ngrams(words)
         first = np.searchsorted(owner, np.arange(len(words)))
         scores = np.add.reduceat(self.odds[bucket], first, axis=0)
@@ -169,11 +173,11 @@ def _count_batches(languages: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, scripts = np.zeros((len(languages), BUCKETS), np.int64), np.zeros((len(languages), len(_NAMES)), np.int64)
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, limit=PIECE_BYTES):
                 for lang, text in zip(piece.column(0).to_pylist(), text_strings(piece.column(1))):
-                    if words := words_of(text):
-                        bucket, _, script, _ = ngrams(words)
-                        k = languages.index(lang)
+                    words, k = words_of(text), languages.index(lang)
+                    for at in range(0, len(words), WORDS):
+                        bucket, _, script, _ = ngrams(words[at : at + WORDS])
                         counts[k] += np.bincount(bucket, minlength=BUCKETS)
                         scripts[k] += np.bincount(script, minlength=len(_NAMES))
         for kind, table in (("n", counts), ("s", scripts)):
@@ -291,7 +295,7 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, limit=PIECE_BYTES):
                 yield pa.RecordBatch.from_arrays([piece.column(0), *_labels(text_strings(piece.column(1)), held)], ["doc_id", "lang_pred", "score", "spans"])
 
     return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, {_SCHEMA}")
@@ -304,7 +308,7 @@ def cross_fitted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 #: A text whose language has a smaller share of its letters is of no one language.
-LEAST_SHARE = 0.5
+LEAST_SHARE = 0.4
 
 
 def known_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: float = LEAST_SHARE) -> DataFrame:
@@ -314,7 +318,7 @@ def known_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, place):
+            for piece in pieces(batch, place, PIECE_BYTES):
                 lang, score, _ = _labels(text_strings(piece.column(place)), held)
                 yield piece.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(lang.to_pylist(), score.to_pylist())], pa.bool_()))
 
