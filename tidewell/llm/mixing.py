@@ -81,13 +81,18 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Rows with equal ids, sources and sizes are interchangeable: the copies due to them are dealt out among them in turn.
     """
-    keys = ["_mix_id", "_mix_source", "_mix_size"]
-    plan = mix(docs, id_col, text_col, source_col, weights, max_epochs)
-    plan = plan.groupBy(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size")).agg(F.sum("copies").alias("_due"), F.count("*").alias("_rows")).filter("_due > 0")
-    own = docs.withColumns({"_own_id": F.col(f"`{id_col}`"), "_own_source": col_or_null(docs, source_col), "_own_size": word_count(F.col(f"`{text_col}`"))})
-    met = own.join(plan, F.col("_own_id").eqNullSafe(F.col("_mix_id")) & F.col("_own_source").eqNullSafe(F.col("_mix_source")) & (F.col("_own_size") == F.col("_mix_size")))
-    single = met.filter("_rows = 1").withColumn("_copies", F.col("_due"))
-    rank = F.row_number().over(Window.partitionBy("_mix_id", "_mix_source", "_mix_size").orderBy(F.xxhash64(F.col(f"`{text_col}`"))))
-    shared = met.filter("_rows > 1").withColumn("_copies", F.floor((F.col("_due") - rank) / F.col("_rows")) + 1)
-    dealt = single.unionByName(shared).filter("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    plan = written(mix(docs, id_col, text_col, source_col, weights, max_epochs).select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), "copies"), "mix-plan")
+    sums = written(plan.groupBy("__id", "__source").agg(F.sum("copies").alias("__due"), F.count("*").alias("__rows")), "mix-due")
+    own_id, own_source = F.col(f"`{id_col}`"), col_or_null(docs, source_col)
+    met = [own_id.eqNullSafe(F.col("__id")), own_source.eqNullSafe(F.col("__source"))]
+    dealt = docs.join(sums.filter("__rows = 1 and __due > 0"), met).withColumn("__copies", F.col("__due"))
+    alike = sums.filter("__rows > 1 and __due > 0").select("__id", "__source")
+    if not alike.isEmpty():
+        due = plan.join(alike, plan["__id"].eqNullSafe(alike["__id"]) & plan["__source"].eqNullSafe(alike["__source"]), "left_semi")
+        due = due.groupBy("__id", "__source", "__size").agg(F.sum("copies").alias("__due"), F.count("*").alias("__rows")).filter("__due > 0")
+        rank = F.row_number().over(Window.partitionBy("__id", "__source", "__size").orderBy(F.xxhash64(F.col(f"`{text_col}`"))))
+        shared = docs.join(due, [*met, word_count(F.col(f"`{text_col}`")) == F.col("__size")])
+        shared = shared.withColumn("__copies", F.floor((F.col("__due") - rank) / F.col("__rows")) + 1)
+        dealt = dealt.unionByName(shared.drop("__size"))
+    dealt = dealt.filter("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
     return dealt.select(*[F.col(f"`{c}`") for c in docs.columns])
