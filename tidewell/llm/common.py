@@ -9,13 +9,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-#: The six ASCII white-space characters, as the contract's word pattern has them.
-ASCII_WORD = r"[^\x20\x09-\x0D]+"
-
-
 def shared_root(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a new one where that is unset (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -71,11 +66,3 @@ def prefix_sum(df: DataFrame, order: Sequence[Column], value: str, out: str, nam
     offset = F.element_at(F.lit(offsets).cast("array<bigint>"), F.col("_part") + 1)
     running = F.sum(value).over(Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
     return ranged.withColumn(out, (F.coalesce(running, F.lit(0)) + offset).cast("long")).drop("_part")
-
-
-def ascii_lower(text: Column) -> Column:
-    """A-Z only; other letters stay."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
-STRING, LONG = T.StringType(), T.LongType()

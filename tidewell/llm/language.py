@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.arrow import claim, pieces, text_strings
-from tidewell.llm.common import written
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3, 4)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewell.llm.common import col_or_null, partitions, prefix_sum, word_count, written
+from tidewell.llm.common import col_or_null, prefix_sum, word_count, written
 
 #: Sources in code-point order weigh these, repeating.
 WEIGHTS = (1, 2, 3)
