@@ -69,8 +69,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     copies = copies.select("_uid", "doc_id", "_h", "copy", "size", "source", ((F.col("copy") * F.col("source_size") + F.col("_done")) / F.col("target")).alias("finish"))
     place = [F.col("finish"), F.col("_h"), F.col("doc_id"), F.col("source").asc_nulls_last(), F.col("copy"), F.col("_uid")]
     taken = prefix_sum(copies, place, "size", "_sent", "mix-sequence").filter(F.col("_sent") + F.col("size") <= budget)
-    # Ordered by finish, sizes add up: the rows that stay are a prefix of the sequence up to its first overflow or later
-    # rows that end at or below the budget, of which there are none, as sums only grow.
+    # Sums only grow along the sequence, so the copies that stay are its beginning.
     taken = taken.groupBy("_uid").agg(F.count("*").alias("copies"), F.min("finish").alias("first_finish"))
     out = queued.join(taken, "_uid", "left").withColumn("copies", F.coalesce("copies", F.lit(0)))
     return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "first_finish")
