@@ -21,7 +21,7 @@ import sys
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,12 +59,24 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(rest)}
 
 
+class _Kept(dict):
+    """Ids of words, found by the given function when a word is first asked for."""
+
+    def __init__(self, find: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = self.find(word)
+        return ids
+
+
 class Encoder:
     """Encodes texts by the tokenizers library; the ids of a plain text's words are found once, and kept."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.letters, self.words, self.signs = _byte_letters(), {}, {}
+        self.letters, self.words, self.signs = _byte_letters(), _Kept(self._word), _Kept(self._piece)
         most = max(self.tokenizer.get_vocab().values())
         if most >= 1 << 8 * WIDTH:
             raise ValueError(f"id {most} doesn't fit into {WIDTH} bytes")
@@ -76,15 +88,7 @@ class Encoder:
     def _word(self, word: str) -> bytes:
         if word.isalpha():
             return self._piece(word)
-        parts, signs = [], self.signs
-        for piece in _PIECE.findall(word):
-            if piece.isalpha():
-                parts.append(self._piece(piece))
-            else:
-                if piece not in signs:
-                    signs[piece] = self._piece(piece)
-                parts.append(signs[piece])
-        return b"".join(parts)
+        return b"".join([self._piece(p) if p.isalpha() else self.signs[p] for p in _PIECE.findall(word)])
 
     def ids(self, text: str) -> bytes:
         """The text's ids and END, as little-endian unsigned integers of WIDTH bytes."""
@@ -93,18 +97,7 @@ class Encoder:
         if len(self.words) > KEPT_WORDS or len(self.signs) > KEPT_WORDS // 8:
             self.words.clear()
             self.signs.clear()
-        kept, words = self.words, text.lower().split()
-        found = list(map(kept.get, words))
-        if None in found:
-            for k, ids in enumerate(found):
-                if ids is None:
-                    word = words[k]
-                    ids = kept.get(word)
-                    if ids is None:
-                        ids = kept[word] = self._word(word)
-                    found[k] = ids
-        found.append(_END)
-        return b"".join(found)
+        return b"".join(map(self.words.__getitem__, text.lower().split())) + _END
 
 
 def _packed(ids: list[int]) -> bytes:
