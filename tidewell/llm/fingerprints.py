@@ -65,9 +65,9 @@ def with_subset_hashes(rows: DataFrame, kept: str, out: str) -> DataFrame:
     parts = []
     for modulus, n in SUBSETS:
         for r in range(n):
-            own = F.expr(f"filter(_of_{modulus}, h -> {_residue(modulus)} = {r})") if n > 1 else F.col(f"_of_{modulus}")
-            parts.append(F.when(F.size(own) == 0, F.lit(NONE)).otherwise(F.right(F.lpad(F.hex(F.xxhash64(own)), 16, "0"), F.lit(6))))
-    return rows.withColumn(out, F.array(*parts)).drop(*[f"_of_{m}" for m, _ in SUBSETS])
+            parts.append(F.expr(f"filter(_of_{modulus}, h -> {_residue(modulus)} = {r})") if n > 1 else F.col(f"_of_{modulus}"))
+    hashed = F.transform(F.array(*parts), lambda own: F.when(F.size(own) == 0, F.lit(NONE)).otherwise(F.right(F.lpad(F.hex(F.xxhash64(own)), 16, "0"), F.lit(6))))
+    return rows.withColumn(out, hashed).drop(*[f"_of_{m}" for m, _ in SUBSETS])
 
 
 def likeness(a: Column, b: Column) -> Column:
