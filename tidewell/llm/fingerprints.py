@@ -28,8 +28,8 @@ RANGES = 3
 
 
 def terms(text: Column) -> Column:
-    """Hashes of the distinct terms of a text."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    """Hashes of the distinct terms of a text; null has none."""
+    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda t: t != "")
     return F.array_distinct(F.transform(words, lambda t: F.xxhash64(t)))
 
 
