@@ -170,3 +170,9 @@ def test_the_lexicon_is_the_band(spark, make):
     kept = docs.select("doc_id", fingerprints.in_lexicon(docs.text, held).alias("k")).collect()
     assert {len(r.k) for r in kept if r.doc_id % 8} == {1}
     assert {len(r.k) for r in kept if r.doc_id % 8 == 0} == {2}
+
+
+def test_null_and_empty_texts_have_empty_parts(spark, make):
+    got = fingerprints.fingerprints(make([(1, None), (2, ""), (3, "!!"), (4, "some words")])).select("doc_id", "subsets").collect()
+    assert {tuple(set(r.subsets)) for r in got if r.doc_id < 4} == {(fingerprints.NONE,)}
+    assert len({len(r.subsets) for r in got}) == 1
