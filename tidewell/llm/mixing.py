@@ -84,7 +84,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sums = written(plan.groupBy("__id", "__source").agg(F.sum("copies").alias("__due"), F.count("*").alias("__rows")), "mix-due")
     own_id, own_source = F.col(f"`{id_col}`"), col_or_null(docs, source_col)
     met = [own_id.eqNullSafe(F.col("__id")), own_source.eqNullSafe(F.col("__source"))]
-    dealt = docs.join(sums.filter("__rows = 1 and __due > 0"), met).withColumn("__copies", F.col("__due"))
+    # One plan at every size: the sums grow with the documents, and are not to be broadcast because they happen to be small.
+    dealt = docs.join(sums.filter("__rows = 1 and __due > 0").hint("merge"), met).withColumn("__copies", F.col("__due"))
     alike = sums.filter("__rows > 1 and __due > 0").select("__id", "__source")
     if not alike.isEmpty():
         due = plan.join(alike, plan["__id"].eqNullSafe(alike["__id"]) & plan["__source"].eqNullSafe(alike["__source"]), "left_semi")
