@@ -176,3 +176,24 @@ def test_null_and_empty_texts_have_empty_parts(spark, make):
     got = fingerprints.fingerprints(make([(1, None), (2, ""), (3, "!!"), (4, "some words")])).select("doc_id", "subsets").collect()
     assert {tuple(set(r.subsets)) for r in got if r.doc_id < 4} == {(fingerprints.NONE,)}
     assert len({len(r.subsets) for r in got}) == 1
+
+
+def test_copies_do_not_move_the_band(spark, make):
+    rng = random.Random(7)
+    rows = [(k, words(rng, 30)) for k in range(60)]
+    plain = fingerprints.fingerprints(make(rows)).select("doc_id", "subsets")
+    copied = make(rows + [(100 + k, rows[0][1]) for k in range(40)])
+    want, got = ({r.doc_id: r.subsets for r in df.collect()} for df in (plain, fingerprints.fingerprints(copied).select("doc_id", "subsets")))
+    assert {k: got[k] for k in want} == want
+    assert all(got[100 + k] == want[0] for k in range(40))
+
+
+def test_texts_without_band_terms_differ(spark, make):
+    rows = [(k, f"tide well only{k}") for k in range(40)]
+    held = fingerprints.lexicon(make(rows))
+    others = make([(1, "salt rope keel"), (2, "mast sail oar"), (3, "salt rope keel"), (4, None), (5, "tide well")])
+    got = {r.doc_id: r.subsets for r in fingerprints.fingerprints(others, lexicon_=held).collect()}
+    assert got[1] == got[3] and set(got[4]) == {fingerprints.NONE}
+    assert len({tuple(got[k]) for k in (1, 2, 4, 5)}) == 4
+    df = spark.createDataFrame([(got[1], got[2]), (got[1], got[4]), (got[1], got[3])], "a array<string>, b array<string>")
+    assert [r[0] for r in df.select(fingerprints.likeness(df.a, df.b)).collect()] == [0.0, 0.0, 1.0]

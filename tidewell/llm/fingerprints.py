@@ -1,8 +1,8 @@
 """I-Match document fingerprints, in DataFrame operations only.
 
-Terms are lower-cased runs of letters and digits. The lexicon holds the terms whose inverse document frequency lies in a
-band; it is split into randomised subsets of several sizes. For each subset, a document's distinct terms in it are sorted
-and hashed. A fingerprint joins these hashes; the likeness of two is the share of subsets, of those where either document
+Terms are lower-cased runs of letters and digits. The lexicon holds the terms whose inverse document frequency, over
+distinct texts, lies in a band; it is split into randomised subsets of several sizes. For each subset, a document's distinct
+terms in it are sorted and hashed. A document with terms, but none in the band, goes by all its terms. A fingerprint joins these hashes; the likeness of two is the share of subsets, of those where either document
 has a term, in which they agree.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 from tidewell.llm.common import partitions
 
-#: Band of document frequency, as shares of the documents: inverse frequencies from ln 5 to ln 1000.
+#: Band of document frequency, as shares of the distinct texts: inverse frequencies from ln 5 to ln 1000.
 MOST, LEAST = 0.2, 0.001
 #: Lists that the lexicon is held in; a term is looked up in one of them.
 SLOTS = 1 << 15
@@ -36,12 +36,14 @@ def terms(text: Column) -> Column:
 def lexicon(docs: DataFrame, text_col: str = "text") -> Column:
     """SLOTS lists of the hashes of the terms in the band, as one constant.
 
-    A term counts once for each document that has it. Of all (document, term) pairs, a term in the band has at least
-    LEAST times the number of documents: there are at most (mean number of distinct terms of a document) / LEAST such
-    terms, whatever the number of documents. That bound, some 16 bytes a term, is what goes to the driver and executors.
+    A term counts once for each distinct text that has it: copies, however many, count as one text. Of all (text, term)
+    pairs, a term in the band has at least LEAST times the number of texts: there are at most (mean number of distinct
+    terms of a text) / LEAST such terms, whatever the number of texts. That bound, some 16 bytes a term, is what goes to
+    the driver and executors. Texts are shuffled once, each task's copies as one; the total is counted by 96-bit hashes.
     """
-    spark, total = docs.sparkSession, docs.count()
-    counts = docs.select(F.explode(terms(F.col(f"`{text_col}`"))).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    spark, text = docs.sparkSession, F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")
+    total = docs.select(F.xxhash64(text).alias("a"), F.hash(text).alias("b")).distinct().count()
+    counts = docs.select(text).distinct().select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
     band = counts.filter((F.col("n") >= LEAST * total) & (F.col("n") <= max(1.0, MOST * total)))
     slots = band.groupBy(F.pmod("term", F.lit(SLOTS)).alias("slot")).agg(F.array_sort(F.collect_list("term")).alias("held"))
     every = spark.range(SLOTS).join(slots, F.col("id") == F.col("slot"), "left").select("id", F.coalesce("held", F.array().cast("array<bigint>")).alias("held"))
@@ -49,9 +51,13 @@ def lexicon(docs: DataFrame, text_col: str = "text") -> Column:
     return F.from_json(F.lit(row.head()[0]), "array<array<bigint>>")
 
 
+def _held(terms_: Column, lexicon: Column) -> Column:
+    return F.array_sort(F.filter(terms_, lambda h: F.array_contains(F.get(lexicon, F.pmod(h, F.lit(SLOTS)).cast("int")), h)))
+
+
 def in_lexicon(text: Column, lexicon: Column) -> Column:
     """The text's distinct terms in the lexicon, sorted."""
-    return F.array_sort(F.filter(terms(text), lambda h: F.array_contains(F.get(lexicon, F.pmod(h, F.lit(SLOTS)).cast("int")), h)))
+    return _held(terms(text), lexicon)
 
 
 def _residue(modulus: int) -> str:
@@ -79,10 +85,14 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text", out: str = "subsets", lexicon_: Column | None = None) -> DataFrame:
-    """docs with column out: the fingerprint's parts. The lexicon is that of docs, if none is given."""
+    """docs with column out: the fingerprint's parts. The lexicon is that of docs, if none is given.
+
+    A text with terms, but none in the lexicon, goes by all its terms; it agrees with no text that has some in the lexicon.
+    """
     held = lexicon(docs, text_col) if lexicon_ is None else lexicon_
-    rows = docs.withColumn("_kept", in_lexicon(F.col(f"`{text_col}`"), held))
-    return with_subset_hashes(rows, "_kept", out).drop("_kept")
+    rows = docs.withColumn("_terms", terms(F.col(f"`{text_col}`"))).withColumn("_held", _held(F.col("_terms"), held))
+    rows = rows.withColumn("_kept", F.when(F.size("_held") == 0, F.array_sort("_terms")).otherwise(F.col("_held")))
+    return with_subset_hashes(rows, "_kept", out).drop("_terms", "_held", "_kept")
 
 
 def with_next(docs: DataFrame, id_col: str, carry: list[str]) -> DataFrame:
@@ -114,8 +124,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next: a row for each row of docs.
 
     The edited text has the text's last floor(n_chars / 2) code points replaced by the first as many of the next document
-    by descending id. Null counts as empty; texts without a term in the band have a fingerprint of empty parts, and two
-    such are alike (1). A table of one row is its own next. An empty table gives none.
+    by descending id. Null counts as empty; texts without any term have a fingerprint of empty parts, and two such are
+    alike (1). Texts with terms, but none in the band, go by all their terms. A table of one row is its own next. An empty table gives none.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     held = lexicon(rows)
