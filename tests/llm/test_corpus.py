@@ -131,6 +131,17 @@ def test_quality_of_edges(spark, make, edges):
     assert quality.classify(make([])).collect() == []
 
 
+def test_toxic_terms_are_learned_and_measured_by_share(spark, make):
+    rng = random.Random(8)
+    plain = lambda n: [rng.choice(["mer", "quai", "phare", "port", "sel", "voile"]) + str(rng.randrange(90)) for _ in range(n)]
+    rows = [(k, " ".join(plain(40) + ["vilain" + rng.choice("abcdefgh") for _ in range(4 * (k % 3 == 0))])) for k in range(120)]
+    rows += [(500, " ".join(plain(40) + ["vilainz"] * 4)), (501, " ".join(plain(2000) + ["trash"])), (502, "")]
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(120)], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in quality.classify(make(rows), labels=labels).collect()}
+    assert all(got[k].toxic == (k % 3 == 0) for k in range(120))
+    assert got[500].toxic and not got[501].toxic and not got[502].toxic
+
+
 def test_estimates_of_known_labellers():
     rng = np.random.default_rng(5)
     truth, right = rng.random(4000) < 0.7, (0.95, 0.8, 0.7, 0.9)

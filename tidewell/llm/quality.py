@@ -4,6 +4,9 @@ Overlapping heuristic labellers vote good, bad or nothing on every document. The
 bounded size, go to the driver, where expectation-maximisation estimates each labeller's accuracy on good and on bad
 documents and the share of good ones. Each pattern's posterior then labels a bounded sample of documents, on which a linear
 scorer over hashed token features is trained in numpy. The scorer judges all documents.
+
+Toxic terms, words and beginnings of words, are learned from a bounded sample of labelled documents, whatever their language:
+those that take a far larger share of toxic documents' words. A document is toxic by the share of its words that are such.
 """
 
 from __future__ import annotations
@@ -17,12 +20,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.arrow import pieces, text_strings
+from tidewell.llm.common import written
 
 BUCKETS = 1 << 14
 #: Documents that the scorer is fitted on, about: the documented bound of its sample.
 FIT_DOCS = 6000
 STEPS, RATE, DECAY = 150, 0.5, 1e-4
 KEEP_SCORE = 0.4
+#: Labelled documents that toxic terms are learned from, about: the documented bound of that sample. One labelled id in four,
+#: by its hash, is never among them: recall is measured on these.
+LABELLED, HELD_OUT = 6000, 4
+#: A toxic term begins a word by so many letters, or is a word; it stands in so many toxic documents, and takes this many times
+#: the share of toxic documents' words that it takes of others'.
+STARTS, TERM_DOCS, TERM_RATIO = (4, 5, 6, 7), 5, 8.0
+#: Share of insults of a toxic document's words, where there are no labels to learn it from.
+TOXIC_SHARE = 0.015
 #: Bytes of text that are read at once: each takes some 100 bytes of working memory.
 PIECE_BYTES = 3 << 20
 
@@ -57,10 +69,11 @@ class Tokens:
     """The tokens of some texts, runs of characters that are not white space: the text, signs and hashes of each.
 
     All characters are handled side by side; no Python runs for a token. `word` hashes a token's letters and digits in
-    lower case, `shape` the runs of capitals, letters, digits and signs in it.
+    lower case, `shape` the runs of capitals, letters, digits and signs in it; `starts`, if asked for, the first letters and
+    digits, as many as STARTS says each, 0 for a token with fewer.
     """
 
-    def __init__(self, texts: list[str]) -> None:
+    def __init__(self, texts: list[str], starts: bool = False) -> None:
         self.n = len(texts)
         points = np.frombuffer((" ".join(texts) + " ").encode("utf-32-le", "surrogatepass"), "<u4")
         known = np.minimum(points, _KNOWN)
@@ -84,21 +97,26 @@ class Tokens:
         new[1:] &= (kind[1:] != kind[:-1]) | space[:-1]
         lower = np.where(known < _KNOWN, _LOWER[known], points)
         token = np.cumsum(edge[:-1] == -1, dtype=np.int32) - 1 if len(first) else np.empty(0, np.int32)
-        self.word, self.shape = self._hash(lower, alike, first, token), self._hash(kind, new, first, token)
+        self.word, *self.starts = self._hash(lower, alike, first, token, STARTS if starts else ())
+        (self.shape,) = self._hash(kind, new, first, token)
 
     @staticmethod
-    def _hash(value: np.ndarray, own: np.ndarray, first: np.ndarray, token: np.ndarray) -> np.ndarray:
-        """A hash of each token's own values in their order; token: the token of each character."""
+    def _hash(value: np.ndarray, own: np.ndarray, first: np.ndarray, token: np.ndarray, starts: tuple[int, ...] = ()) -> list[np.ndarray]:
+        """A hash of each token's own values in their order, and of so many first ones; token: the token of each character."""
         if not len(first):
-            return np.empty(0, np.uint64)
+            return [np.empty(0, np.uint64)] * (1 + len(starts))
         at = np.flatnonzero(own)
         before = np.cumsum(own, dtype=np.int32)[first] - own[first]  # number of own values before each token
         mixed = (value[at].astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) * _POWERS[(np.arange(len(at), dtype=np.int32) - before[token[at]]) & 63]
         mixed ^= mixed >> np.uint64(29)
         total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)))
         ended = np.concatenate((before[1:], [len(at)]))
-        out = (total[ended] - total[before]) * np.uint64(0xFF51AFD7ED558CCD)
-        return out ^ (out >> np.uint64(32))
+
+        def spread(x: np.ndarray) -> np.ndarray:
+            return (x := x * np.uint64(0xFF51AFD7ED558CCD)) ^ (x >> np.uint64(32))
+
+        enough = lambda k: ended - before >= k
+        return [spread(total[ended] - total[before])] + [np.where(enough(k), spread(total[np.minimum(before + k, ended)] - total[before] + np.uint64(k)), np.uint64(0)) for k in starts]
 
     def total(self, values: np.ndarray) -> np.ndarray:
         """Sums by text."""
@@ -112,14 +130,20 @@ def _said(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
     return words[np.minimum(np.searchsorted(words, hashes), len(words) - 1)] == hashes
 
 
-def votes(texts: list[str], tokens_: Tokens | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Votes of the labellers on each text (texts x labellers), and whether it holds insults."""
+def insult_shares(found: Tokens, terms: np.ndarray) -> np.ndarray:
+    """The share of each text's words that are, or begin with, one of the sorted terms."""
+    hit = np.logical_or.reduce([_said(h, terms) for h in (found.word, *found.starts)])
+    return found.total(hit) / np.maximum(np.bincount(found.doc, minlength=found.n), 1)
+
+
+def votes(texts: list[str], tokens_: Tokens | None = None) -> np.ndarray:
+    """Votes of the labellers on each text (texts x labellers)."""
     found = tokens_ or Tokens(texts)
     n, doc = len(texts), found.doc
     tokens = np.bincount(doc, minlength=n).astype(float)
     some = np.maximum(tokens, 1)
     chars, letters, capitals, symbols, decorated, plain, ends, bars = map(found.total, (found.size, found.letters, found.capitals, found.symbols, found.decorated, found.plain, found.ends, found.bar))
-    stops, insults = found.total(_said(found.word, _STOP_HASHES)), found.total(_said(found.word, _INSULT_HASHES))
+    stops = found.total(_said(found.word, _STOP_HASHES))
     key, count = np.unique((doc.astype(np.uint64) << np.uint64(40)) | (found.word >> np.uint64(24)), return_counts=True)
     step, place = np.uint64(1 << 40), found.word
     owner = (key // step).astype(np.int64)
@@ -158,7 +182,7 @@ def votes(texts: list[str], tokens_: Tokens | None = None) -> tuple[np.ndarray,
         vote((mean < 3) | (mean > 12), (mean >= 4) & (mean <= 9)),
         vote(ends / some < 0.005, (ends / some > 0.02) & (ends / some < 0.5), long),
     ]
-    return np.stack(columns, axis=1), insults > 0
+    return np.stack(columns, axis=1)
 
 
 def features(texts: list[str], tokens_: Tokens | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -230,9 +254,8 @@ def fit(own: np.ndarray, bucket: np.ndarray, value: np.ndarray, label: np.ndarra
 def _vote_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in pieces(batch, limit=PIECE_BYTES):
-            found, insults = votes(text_strings(piece.column(1)))
-            words = ["".join(map(str, v)) for v in found.tolist()]
-            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(words, pa.string()), pa.array(insults, pa.bool_())], ["id", "pattern", "toxic"])
+            words = ["".join(map(str, v)) for v in votes(text_strings(piece.column(1))).tolist()]
+            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(words, pa.string())], ["id", "pattern"])
 
 
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,7 +263,7 @@ def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         for piece in pieces(batch, limit=PIECE_BYTES):
             texts = text_strings(piece.column(1))
             read = Tokens(texts)
-            found, _ = votes(texts, read)
+            found = votes(texts, read)
             own, bucket, value = features(texts, read)
             cuts = np.searchsorted(own, np.arange(1, len(texts)))
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(["".join(map(str, v)) for v in found.tolist()]), pa.array(np.split(bucket.astype(np.int32), cuts), pa.list_(pa.int32())), pa.array(np.split(value.astype(np.float32), cuts), pa.list_(pa.float32()))], ["id", "pattern", "buckets", "values"])
@@ -252,7 +275,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_d
     Patterns are counted over all documents. The scorer is fitted on about fit_docs of them, chosen by a hash of their ids.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    counted = rows.mapInArrow(_vote_batches, "id string, pattern string, toxic boolean").groupBy("pattern").agg(F.count("*").alias("n"))
+    counted = rows.mapInArrow(_vote_batches, "id string, pattern string").groupBy("pattern").agg(F.count("*").alias("n"))
     counts = dict(counted.collect())
     names = sorted(counts)
     if not names:
@@ -272,23 +295,81 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_d
     return fit(*joined, np.array(label)), posterior, table
 
 
-def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_docs: int = FIT_DOCS) -> DataFrame:
+def _term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of toxic and text: each text's terms, each with its share of the text's words."""
+    for batch in batches:
+        for piece in pieces(batch, limit=PIECE_BYTES):
+            read, bad = Tokens(text_strings(piece.column(1)), True), piece.column(0).to_numpy(zero_copy_only=False)
+            size = np.bincount(read.doc, minlength=read.n)
+            for hashes in (read.word, *read.starts):
+                own, order = hashes != 0, np.lexsort((hashes, read.doc))
+                order = order[own[order]]
+                doc, term = read.doc[order], hashes[order]
+                new = np.flatnonzero(np.concatenate((np.ones(min(1, len(doc)), bool), (doc[1:] != doc[:-1]) | (term[1:] != term[:-1]))))
+                count = np.diff(np.append(new, len(doc)))
+                yield pa.RecordBatch.from_arrays([pa.array(term[new].view(np.int64)), pa.array(bad[doc[new]], pa.bool_()), pa.array(count / size[doc[new]], pa.float64())], ["term", "toxic", "share"])
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """toxic, text: about LABELLED distinct texts with a label, by hash of their ids, none of them held out."""
+    known = labels.filter("toxic is not null").groupBy(F.col("doc_id").cast("string").alias("id")).agg((F.max("toxic") > 0).alias("toxic"))
+    spread = F.pmod(F.xxhash64("id"), F.lit(HELD_OUT << 20))
+    known = known.filter((spread % HELD_OUT != 0) & (spread < (HELD_OUT << 20) * min(1.0, LABELLED / max(1, labels.count()))))
+    rows = docs.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    return rows.join(F.broadcast(known), "id").groupBy("text").agg(F.max("toxic").alias("toxic")).select("toxic", "text")
+
+
+def insults(docs: DataFrame, labels: DataFrame | None, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, float]:
+    """Hashes of the toxic terms, sorted, and the least share of them among a toxic text's words.
+
+    The plain insults are always among them. Without labels, or with fewer than TERM_DOCS toxic ones, there are no others.
+    """
+    if labels is None:
+        return _INSULT_HASHES, TOXIC_SHARE
+    sample = written(labelled_sample(docs, labels, id_col, text_col), "quality-labelled")
+    n = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    if n.get(True, 0) < TERM_DOCS or not n.get(False):
+        return _INSULT_HASHES, TOXIC_SHARE
+    bad, clean = F.col("toxic"), ~F.col("toxic")
+    seen = sample.mapInArrow(_term_batches, "term long, toxic boolean, share double").groupBy("term")
+    seen = seen.agg(F.count_if(bad).alias("bad"), F.count_if(clean).alias("clean"), F.sum(F.when(bad, F.col("share")).otherwise(0.0)).alias("in_bad"), F.sum(F.when(clean, F.col("share")).otherwise(0.0)).alias("in_clean"))
+    often = F.col("in_bad") / n[True] > TERM_RATIO * (F.col("in_clean") + 1e-3) / n[False]
+    often &= F.col("bad") / n[True] > 3 * F.col("clean") / n[False]
+    found = seen.filter((F.col("bad") >= TERM_DOCS) & often).select("term").collect()
+    terms = np.union1d(np.array([r[0] for r in found], np.int64).view(np.uint64), _INSULT_HASHES)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, limit=PIECE_BYTES):
+                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(insult_shares(Tokens(text_strings(piece.column(1)), True), terms))], ["toxic", "share"])
+
+    pairs = sample.mapInArrow(measure, "toxic boolean, share double").collect()
+    toxic, share = np.array([r[0] for r in pairs]), np.array([r[1] for r in pairs])
+    steps = np.unique(share[share > 0])
+    if not len(steps):
+        return terms, TOXIC_SHARE
+    right = len(toxic) - np.searchsorted(np.sort(share), steps), toxic.sum() - np.searchsorted(np.sort(share[toxic]), steps)
+    return terms, float(steps[np.argmax(2 * right[1] / (right[0] + toxic.sum()))])
+
+
+def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_docs: int = FIT_DOCS, labels: DataFrame | None = None) -> DataFrame:
     """doc_id, quality (0 to 1), pattern (the labellers' votes), weak_label (their posterior), toxic, keep: a row a row.
 
-    keep: quality of KEEP_SCORE or more, and no insult. Null and empty texts have quality 0 and aren't kept. Repeated rows
+    toxic: toxic terms, learned from labels (doc_id, toxic) where these are given, take the share of its words that insults()
+    says. keep: quality of KEEP_SCORE or more, and not toxic. Null and empty texts have quality 0 and aren't kept. Repeated rows
     each give a row. An empty table gives none.
     """
     scorer, posterior, _ = train(docs, id_col, text_col, fit_docs)
-    held = docs.sparkSession.sparkContext.broadcast((scorer, posterior))
+    held = docs.sparkSession.sparkContext.broadcast((scorer, posterior, *insults(docs, labels, id_col, text_col)))
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, known = held.value
+        own, known, terms, least = held.value
         for batch in batches:
             for piece in pieces(batch, limit=PIECE_BYTES):
                 texts = text_strings(piece.column(1))
-                read = Tokens(texts)
-                found, toxic = votes(texts, read)
+                read = Tokens(texts, True)
+                found, toxic = votes(texts, read), insult_shares(read, terms) >= least
                 words, scores = ["".join(map(str, v)) for v in found.tolist()], own.scores(len(texts), *features(texts, read))
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(scores), pa.array(words, pa.string()), pa.array([known.get(w, 0.5) for w in words], pa.float64()), pa.array(toxic, pa.bool_()), pa.array((scores >= KEEP_SCORE) & ~toxic)], ["doc_id", "quality", "pattern", "weak_label", "toxic", "keep"])
 

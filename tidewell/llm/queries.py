@@ -29,7 +29,7 @@ def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.classify(table(spark, sf_dir, "documents"))
+    return quality.classify(table(spark, sf_dir, "documents"), labels=table(spark, sf_dir, "labels"))
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
