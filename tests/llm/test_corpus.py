@@ -292,6 +292,15 @@ def test_cuts_depend_on_the_stream_alone():
     assert max(np.diff([0, *whole])) <= tokens.MOST
 
 
+def test_short_documents_share_a_passage():
+    rng = np.random.default_rng(9)
+    passages = rng.integers(2, 40_000, (20, 300))
+    streams = [np.concatenate([rng.integers(2, 40_000, 60), passages[k % 20], rng.integers(2, 40_000, 60), [tokens.END]]) for k in range(120)]
+    ids = np.concatenate(streams)
+    chunks = [c.tobytes() for c in np.split(ids, tokens.cuts(ids, [len(s) for s in streams])[:-1])]
+    assert sum(map(len, set(chunks))) < 0.9 * sum(map(len, chunks))
+
+
 def test_merkle():
     leaves = [bytes([k]) * 32 for k in range(7)]
     assert len({tokens.merkle(leaves[:n]) for n in range(8)}) == 8

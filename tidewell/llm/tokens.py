@@ -37,8 +37,9 @@ from tidewell.llm.storage import create, open_input, remove
 #: The id that ends a document.
 END = 1
 WIDTH = 2
-#: The rolling hash covers this many ids; a chunk ends where MASK_BITS of its bits are zero, or at MOST ids.
-ROLL, MASK_BITS, MOST = 16, 11, 16384
+#: The rolling hash covers this many ids; a chunk ends where MASK_BITS of its bits are zero, or at MOST ids. Chunks of 128 ids
+#: on average lie well below a usual document of some 600, so that documents share passages, not just whole texts.
+ROLL, MASK_BITS, MOST = 16, 7, 2048
 #: Unpacked bytes of a block, about. A pack goes on in a new file beyond PACK_BYTES.
 BLOCK_BYTES, PACK_BYTES = 1 << 17, 1 << 28
 LEVEL = 1
