@@ -1,5 +1,6 @@
 """Language, quality, mixing, token stores, archives and the pipeline."""
 
+import hashlib
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -41,6 +42,25 @@ def test_paths_are_best(states):
         at += n
 
 
+def test_many_languages_and_long_texts(monkeypatch):
+    rng = np.random.default_rng(3)
+    scores = np.zeros((40, 300), np.float32)
+    scores[:, 299] = 5
+    assert language.best_paths(scores, np.array([40]), 2.0).tolist() == [299] * 40
+    lengths = np.array([70, 1, 0, 400, 63])
+    for states in (1, 3, 9, 300):
+        scores = rng.normal(0, 3, (lengths.sum(), states)).astype(np.float32)
+        whole = language.best_paths(scores, lengths, 2.0)
+        for size in (1, 1 << 14, 1 << 20):
+            monkeypatch.setattr(language, "TABLE_BYTES", size)
+            path, at = language.best_paths(scores, lengths, 2.0), 0
+            for n in lengths:
+                own = scores[at : at + n].astype(float)
+                assert not n or abs(path_score(own, path[at : at + n], 2.0) - path_score(own, whole[at : at + n], 2.0)) < 1e-3
+                at += n
+        monkeypatch.undo()
+
+
 SAID = {
     "en": "the and of to in that is was for with thing there would about people",
     "de": "der die und das ist nicht mit für über schön Straße zwischen werden",
@@ -90,6 +110,24 @@ def test_languages_of_edges(spark, make, edges):
     assert language.fit(make([(1, "text"), (2, None, "en", None)])) is None
 
 
+def test_untaught_scripts_are_no_language(spark, make):
+    rng = random.Random(5)
+    foreign = " ".join("".join(chr(0x0905 + rng.randrange(30)) for _ in range(5)) for _ in range(30))
+    rows = [(2000, foreign), (2001, foreign + " " + spoken(rng, "de", 60)), (2002, spoken(rng, "en", 30))]
+    got = {r.doc_id: r for r in language.identify(make(rows), language.fit(make(language_rows()))).collect()}
+    assert got[2000].score == 0 and got[2001].lang_pred == "de" and 0.4 < got[2001].score < 0.9 and got[2002].score == 1
+    kept = language.known_documents(make(language_rows() + rows)).filter("doc_id >= 2000").collect()
+    assert sorted(r.doc_id for r in kept) == [2001, 2002]
+
+
+def test_known_documents_of_edges(spark, make, edges):
+    rows = [(k + 1000, *r) for k, *r in language_rows()] + edges + edges
+    got = Counter(r.doc_id for r in language.known_documents(make(rows)).collect() if r.doc_id is None or r.doc_id < 1000)
+    assert not got.keys() & {1, 2, 3, 8} and got[None] == 2
+    assert language.known_documents(make([])).collect() == []
+    assert language.known_documents(make([(1, "no label here"), (2, None)])).collect() == []
+
+
 def test_known_documents_keep_their_columns(spark, make):
     rows = language_rows() + [(1000, None), (1001, "123 !!")]
     got = language.known_documents(make(rows))
@@ -241,6 +279,38 @@ def test_encoder_is_the_library():
         assert np.frombuffer(encoder.ids(text), "<u2").tolist() == [*library.encode(text, add_special_tokens=False).ids, 1], repr(text)
 
 
+def test_other_tokenizers_are_left_to_the_library(tmp_path):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, library = tokens.Encoder(path), Tokenizer.from_file(path)
+    assert not encoder.by_word and tokens.Encoder(TOKENIZER).by_word
+    for text in ("Hello World, it is 42!", "plain words here", "", "x\u00e9 <|endoftext|>  y"):
+        assert np.frombuffer(encoder.ids(text), "<u2").tolist() == [*library.encode(text, add_special_tokens=False).ids, 1]
+
+
+def test_vocabularies_beyond_two_bytes(spark, make, tmp_path):
+    from tokenizers.models import WordLevel
+    from tokenizers.pre_tokenizers import Whitespace
+
+    wide = Tokenizer(WordLevel({f"w{k}": k for k in range(70_000)} | {"[UNK]": 70_000}, unk_token="[UNK]"))
+    wide.pre_tokenizer = Whitespace()
+    wide.save(path := str(tmp_path / "wide.json"))
+    rng = random.Random(12)
+    rows = [(k, " ".join(f"w{rng.randrange(71_000)}" for _ in range(400))) for k in range(20)]
+    tokens.write_store(make(rows), path, folder := f"file://{tmp_path}/store")
+    got = tokens.read_store(spark, folder, with_ids=True).orderBy("doc_id").collect()
+    assert [r.ids for r in got] == [[*wide.encode(t, add_special_tokens=False).ids, 1] for _, t in rows]
+    assert max(max(r.ids) for r in got) > 1 << 16
+
+
+def test_words_that_are_kept_are_bounded(monkeypatch):
+    library = Tokenizer.from_file(TOKENIZER)
+    monkeypatch.setattr(tokens, "KEPT_WORDS", 50)
+    encoder = tokens.Encoder(TOKENIZER)
+    text = " ".join(f"word{k}" for k in range(300)) + " " + "long" * 500
+    assert np.frombuffer(encoder.ids(text), "<u2").tolist() == [*library.encode(text, add_special_tokens=False).ids, 1]
+    assert len(encoder.words) <= 50 and max(map(len, encoder.words)) <= tokens.KEPT_LETTERS
+
+
 def test_token_store(spark, make, edges):
     rng = random.Random(8)
     shared = " ".join(f"passage{rng.randrange(999)}" for _ in range(3000))
@@ -306,6 +376,14 @@ def test_merkle():
     assert len({tokens.merkle(leaves[:n]) for n in range(8)}) == 8
     assert tokens.merkle(leaves[::-1]) != tokens.merkle(leaves)
 
+    def plain(nodes):
+        while len(nodes) > 1:
+            nodes = [hashlib.sha256(b"\1" + b"".join(p)).digest() if len(p) == 2 else p[0] for p in (nodes[k : k + 2] for k in range(0, len(nodes), 2))]
+        return nodes[0] if nodes else hashlib.sha256(b"").digest()
+
+    for n in range(40):
+        assert tokens.merkle(own := [bytes([k]) * 32 for k in range(n)]) == plain(own)
+
 
 # --- archives
 
@@ -316,8 +394,6 @@ def page_rows():
 
 
 def test_warc_round_trip(spark):
-    import hashlib
-
     rows = page_rows()
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit("x")).withColumn("run", F.lit("x")).repartition(3)
     got = warc.round_trip(pages).collect()

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from tidewell.llm import components, fingerprints, simhash
 
@@ -84,8 +85,10 @@ def test_heavy_blocks_give_the_same_components(spark, monkeypatch):
     roots = lambda: {tuple(r) for r in components.star_forest(simhash.links(prints)).collect()}
     light = roots()
     monkeypatch.setattr(simhash, "HEAVY", 20)
-    monkeypatch.setattr(simhash, "TILE", 16)
-    assert roots() == light
+    for tile, dealt in ((16, 16), (8, 64)):
+        monkeypatch.setattr(simhash, "TILE", tile)
+        monkeypatch.setattr(simhash, "DEALT", dealt)
+        assert roots() == light
     assert len(light) == len(near) - 1
 
 
@@ -122,6 +125,19 @@ def test_one_of_each(spark, make):
     assert sorted((r.doc_id or -1, r.text) for r in got.collect()) == [(-1, "lonely text of its own"), (1, "a b c d"), (2, "other words stand here")]
 
 
+def test_rows_of_equal_ids_are_judged_by_their_texts(spark, make):
+    rng = random.Random(12)
+    t, u = words(rng, 60), words(rng, 60)
+    for rows in ([(1, t), (5, t), (5, u)], [(5, u), (5, t), (1, t)]):
+        assert sorted((r.doc_id, r.text) for r in simhash.one_of_each(make(rows)).collect()) == [(1, t), (5, u)]
+    got = simhash.one_of_each(make([(None, None), (42, t), (None, t), (None, u), (None, ""), (7, " ")])).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted([(7, " "), (42, t), (None, u)], key=repr)
+    clash = make([(2, t), (1, t)]).withColumn("first", F.lit(1)).withColumn("rank", F.lit(2)).withColumn("KEPT", F.lit(3)).withColumn("__own", F.lit(4))
+    got = simhash.one_of_each(clash)
+    assert got.columns == clash.columns and [r.doc_id for r in got.collect()] == [1]
+    assert simhash.one_of_each(make([])).collect() == []
+
+
 # --- fingerprints
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -13,14 +13,32 @@ from pyspark.sql.window import Window
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new one where that is unset (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    """The folder that driver and executors share: spark.checkpoint.dir. A local master without one (tests) gets a new folder.
+
+    A path without a scheme means the default file system. On a cluster the setting is needed: executors don't see each
+    other's disks.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="tidewell-")
         spark.sparkContext.setCheckpointDir(root)
-    return f"file://{os.path.abspath(root)}" if ":" not in root else root
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", root):
+        return root
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of df has it, in whatever case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

@@ -30,11 +30,15 @@ DAMP = 0.4
 SWITCH = 8.0
 #: Score of a language that is not written in a word's script.
 NOT_IN_SCRIPT = -40.0
+#: Score of all languages for a word in a script that none is written in; it changes no path, and its letters are no language's.
+FOREIGN = -4096.0
 #: Share of a language's letters in a script from which the language is a candidate for words in it.
 SCRIPT_SHARE = 0.005
 BLOCK = 64
-#: Words whose scores a worker keeps.
-KEPT_WORDS = 400_000
+#: Bytes of the blocks' tables of texts that are read side by side.
+TABLE_BYTES = 256 << 20
+#: Bytes of words' scores that a worker keeps.
+KEPT_BYTES = 64 << 20
 #: Words whose n-grams, and bytes of text whose words, are held at once.
 WORDS, PIECE_BYTES = 16_384, 3 << 20
 UNKNOWN = "und"
@@ -96,15 +100,13 @@ class Model:
         odds = np.log(share + 0.5)
         self.odds = (DAMP * (odds - odds.mean(axis=1, keepdims=True))).astype(np.float32)
         written_in = scripts / np.maximum(scripts.sum(axis=0), 1) >= SCRIPT_SHARE
-        written_in[~written_in.any(axis=1)] = True  # a script that no language has narrows nothing
         self.barred = np.where(written_in, 0, NOT_IN_SCRIPT).astype(np.float32)
+        self.barred[~written_in.any(axis=1)] = FOREIGN
 
     def score(self, words: list[str]) -> np.ndarray:
         """words x languages."""
         if not words:
             return np.empty((0, len(self.languages)), np.float32)
-        if len(words) > WORDS:
-            return np.concatenate([self.score(words[k : k + WORDS]) for k in range(0, len(words), WORDS)])
         bucket, owner, script, holder = ngrams(words)
         first = np.searchsorted(owner, np.arange(len(words)))
         scores = np.add.reduceat(self.odds[bucket], first, axis=0)
@@ -114,7 +116,42 @@ class Model:
 
 
 def best_paths(scores: np.ndarray, lengths: np.ndarray, switch: float = SWITCH) -> np.ndarray:
-    """The best state of each word: scores (words x states) of texts of the given lengths, one after the other."""
+    """The best state of each word: scores (words x states) of texts of the given lengths, one after the other.
+
+    Texts are read side by side, as many as keep the blocks' tables within TABLE_BYTES; one text that alone needs more,
+    as states are many or words very many, is read word by word.
+    """
+    states, ends = scores.shape[1], np.cumsum(lengths)
+    size = -(-lengths // BLOCK) * (states * states * 4 + BLOCK * states * 8)
+    out, at = [], 0
+    while at < len(lengths):
+        to = max(at + 1, int(np.searchsorted(np.cumsum(size[at:]), TABLE_BYTES, "right")) + at)
+        own = scores[ends[at] - lengths[at] : ends[to - 1]]
+        alone = to == at + 1 and size[at] > TABLE_BYTES and states > 1
+        out.append(_word_by_word(own, switch) if alone else _side_by_side(own, lengths[at:to], switch))
+        at = to
+    return np.concatenate(out) if out else np.empty(0, np.int64)
+
+
+def _word_by_word(scores: np.ndarray, switch: float) -> np.ndarray:
+    """The best path of one text. A step keeps the best state before it and a bit a state: whether it stays or comes from there."""
+    total, states = scores.shape
+    value, tops = scores[0].astype(np.float64), np.zeros(total, np.int64)
+    stays = np.empty((total, -(-states // 8)), np.uint8)
+    for t in range(1, total):
+        tops[t] = top = value.argmax()
+        jump = value[top] - switch
+        stays[t] = np.packbits(value >= jump)
+        value = np.maximum(value, jump) + scores[t]
+    path, state = np.empty(total, np.int64), int(value.argmax())
+    for t in range(total - 1, -1, -1):
+        path[t] = state
+        if not stays[t, state >> 3] >> (7 - (state & 7)) & 1:
+            state = int(tops[t])
+    return path
+
+
+def _side_by_side(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarray:
     total, states = scores.shape
     out = np.zeros(total, np.int64)
     lengths = lengths[lengths > 0]
@@ -153,12 +190,13 @@ def best_paths(scores: np.ndarray, lengths: np.ndarray, switch: float = SWITCH)
         start[own] = last[live]
 
     # Trace inside the blocks, from the state before to the state at the end.
-    value, from_ = stay[start] + grid[0], np.empty((BLOCK, len(before), states), np.uint8)
-    own_state = np.arange(states, dtype=np.uint8)[None]
+    value, small = stay[start] + grid[0], np.min_scalar_type(states - 1)
+    from_ = np.empty((BLOCK, len(before), states), small)
+    own_state = np.arange(states, dtype=small)[None]
     for t in range(1, BLOCK):
         best = value.argmax(axis=1)
         jump = value.max(axis=1, keepdims=True) - switch
-        from_[t] = np.where(value >= jump, own_state, best[:, None].astype(np.uint8))
+        from_[t] = np.where(value >= jump, own_state, best[:, None].astype(small))
         value = np.maximum(value, jump) + grid[t]
     path, state, every = np.empty((BLOCK, len(before)), np.int64), end, np.arange(len(before))
     for t in range(BLOCK - 1, -1, -1):
@@ -189,8 +227,8 @@ def _count_batches(languages: list[str]):
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fit_docs: int = FIT_DOCS) -> Model | None:
     """The model of labelled rows; None if no row has a text and a label.
 
-    About fit_docs documents of each language are read, chosen by a hash of their id (all, if there are fewer): each
-    gives all of its text. Their n-grams are counted on the cluster, and a table of fixed size comes to the driver.
+    About fit_docs documents of each language are read, chosen by a hash of id and text (all, if there are fewer), rows
+    alike in both as one: each gives all of its text. Their n-grams are counted on the cluster, and a table of fixed size comes to the driver.
     """
     rows = labelled.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("text")).filter("lang is not null and text is not null")
     sizes = dict(rows.groupBy("lang").count().collect())
@@ -198,7 +236,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     if not languages:
         return None
     share = F.element_at(F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, fit_docs / sizes[lang]))]), F.col("lang"))
-    sample = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < share * (1 << 20)).select("lang", "text")
+    sample = rows.filter(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) < share * (1 << 20)).distinct().select("lang", "text")
     cells = sample.mapInArrow(_count_batches(languages), "kind string, lang long, cell long, n long").groupBy("kind", "lang", "cell").agg(F.sum("n").alias("n"))
     counts, scripts = np.zeros((BUCKETS, len(languages))), np.zeros((len(_NAMES), len(languages)))
     for kind, lang, cell, n in cells.toLocalIterator():
@@ -218,32 +256,40 @@ def _forget() -> None:
 
 
 def _scores(words: list[str], model: Model) -> np.ndarray:
-    """Scores of words, kept by the worker."""
+    """Scores of words, kept by the worker in a table that grows by doubling, up to KEPT_BYTES and one batch more."""
     claim("language", _forget)
-    if _owner != [model.key] or len(_words) > KEPT_WORDS:
-        _words.clear()
-        _rows[:] = [np.empty((0, len(model.languages)), np.float32)]
-        _owner[:] = [model.key]
+    if _owner != [model.key] or len(_words) * 4 * len(model.languages) > KEPT_BYTES:
+        _forget()
+        _rows.append(np.empty((1 << 12, len(model.languages)), np.float32))
+        _owner.append(model.key)
     get = _words.get
     places = [get(w, -1) for w in words]
     if -1 in places:
         new = list(dict.fromkeys(w for w, p in zip(words, places) if p < 0))
         at = len(_words)
         _words.update(zip(new, range(at, at + len(new))))
-        _rows[:] = [np.concatenate((_rows[0], model.score(new)))]
+        if len(_words) > len(_rows[0]):
+            wider = np.empty((max(2 * len(_rows[0]), len(_words)), len(model.languages)), np.float32)
+            wider[:at] = _rows[0][:at]
+            _rows[0] = wider
+        for k in range(0, len(new), WORDS):
+            _rows[0][at + k : at + k + len(new[k : k + WORDS])] = model.score(new[k : k + WORDS])
         places = [p if p >= 0 else get(w) for w, p in zip(words, places)]
     return _rows[0][np.array(places, np.int64)]
 
 
 def label(texts: list[str], model: Model) -> list[tuple[str, float, list[dict]]]:
-    """Language, share of letters in its spans, and spans (code points, end exclusive) of each text."""
+    """Language, share of letters in its spans, but in foreign scripts, and spans (code points, end exclusive) of each text."""
     words = [found if "".join(found := words_of(t)).isalpha() else [w for w in found if any(map(str.isalpha, w))] for t in texts]
     lengths = np.array([len(w) for w in words], np.int64)
     flat = [w for ws in words for w in ws]
-    path = best_paths(_scores(flat, model), lengths) if flat else np.empty(0, np.int64)
+    scores = _scores(flat, model) if flat else np.empty((0, len(model.languages)), np.float32)
+    path = best_paths(scores, lengths)
     letters = np.fromiter(map(len, flat), np.int64, len(flat))
     text = np.repeat(np.arange(len(texts)), lengths)
-    held = np.bincount(text * len(model.languages) + path, letters, len(texts) * len(model.languages)).reshape(len(texts), -1)
+    every = np.bincount(text, letters, len(texts))
+    own_letters = np.where(scores[:, 0] < FOREIGN / 2, 0, letters) if model.languages else letters
+    held = np.bincount(text * len(model.languages) + path, own_letters, len(texts) * len(model.languages)).reshape(len(texts), -1)
     ends, out = np.cumsum(lengths), []
     for i, own in enumerate(held):
         if not lengths[i]:
@@ -254,7 +300,7 @@ def label(texts: list[str], model: Model) -> list[tuple[str, float, list[dict]]]
             spans = [{"start": 0, "end": len(texts[i]), "lang": model.languages[states[0]]}]
         else:
             spans = _spans(texts[i], states, model.languages)
-        out.append((model.languages[own.argmax()], float(own.max() / own.sum()), spans))
+        out.append((model.languages[own.argmax()], float(own.max() / every[i]), spans))
     return out
 
 
@@ -287,7 +333,8 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     """doc_id, lang_pred, score, spans: a row for each row of docs.
 
     A null text, or one without a letter, is `und` with score 0 and no span; so is every text without a model. The score
-    is the share of the text's letters that lie in spans of its language. Repeated rows each give a row.
+    is the share of the text's letters that lie in spans of its language; letters in a script that no learned language is
+    written in lie in none. Repeated rows each give a row; an empty table gives none.
     """
     held = docs.sparkSession.sparkContext.broadcast(model) if model else None
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
@@ -311,7 +358,13 @@ LEAST_SHARE = 0.4
 
 
 def known_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: float = LEAST_SHARE) -> DataFrame:
-    """The rows of docs in one known language, with their columns; texts without letters and those of no one language go."""
+    """The rows of docs in one known language, with their columns.
+
+    A row goes if its text is null or has no letter, or if less than `least` of its letters are in spans of one language:
+    texts of several languages, and texts in scripts that no learned language is written in. Rows with null ids or null
+    labels are judged like any other, and each repeated row stays or goes alike. Without any label all rows go; an empty
+    table gives none.
+    """
     model = fit(docs.filter(~held_out(F.col(f"`{id_col}`"))), id_col, text_col, lang_col)
     held, place = (docs.sparkSession.sparkContext.broadcast(model) if model else None), docs.columns.index(text_col)
 

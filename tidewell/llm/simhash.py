@@ -3,7 +3,7 @@
 Equal fingerprints are joined first. Two fingerprints that differ in at most RADIUS bits agree in one of RADIUS + 1 bands
 of bits, so the distinct fingerprints are blocked by band value; inside a block, tiles sorted by population count are
 compared with exclusive-or and bit counts, and pairs of tiles whose counts differ by more than the radius are skipped. A
-block of more than HEAVY fingerprints is dealt out to tasks by pairs of tiles. A tile pair yields the tree of its links
+block of more than HEAVY fingerprints is dealt out to tasks by pairs of larger tiles, which are cut again there. A tile pair yields the tree of its links
 instead of all of them, so no group's links grow with its square, and connected components follow on the cluster.
 """
 
@@ -15,20 +15,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidewell.llm.arrow import by_batch, text_bytes
-from tidewell.llm.common import written
+from tidewell.llm.common import unused, written
 from tidewell.llm.components import star_forest
 
 RADIUS = 3
 SHINGLE = 3
 SEED = 42
 BANDS, BAND_BITS = RADIUS + 1, 16
-#: Rows of a tile, and of a block that one task compares alone.
-TILE, HEAVY = 1024, 16384
+#: Rows of a tile, of a block that one task compares alone, and of the larger tiles that a heavier block is dealt out in.
+TILE, HEAVY, DEALT = 1024, 16384, 32768
 #: Bytes of a text whose shingles are hashed at once, about.
 PIECE = 1 << 21
 
@@ -192,9 +192,9 @@ def links(prints: DataFrame) -> DataFrame:
         heavy_links = None
     else:
         light = rows.join(sizes, "key", "left_anti")
-        # Tiles of a heavy block: its fingerprints of one population count, in as many slots as keep a tile small.
+        # Tiles of a heavy block: its fingerprints of one population count, in as many slots as keep a dealt tile within DEALT rows.
         rows = written(rows.join(sizes.select("key"), "key"), "simhash-heavy-rows")
-        slots = rows.groupBy("key", "ones").agg(F.ceil(F.count("*") / TILE).cast("int").alias("slots"))
+        slots = rows.groupBy("key", "ones").agg(F.ceil(F.count("*") / DEALT).cast("int").alias("slots"))
         near = slots.select("key", F.explode(F.sequence(F.col("ones") - RADIUS, F.col("ones") + RADIUS)).alias("ones"), F.struct(F.col("ones").alias("p"), "slots").alias("tile"))
         near = near.join(slots, ["key", "ones"]).groupBy("key", "ones").agg(F.collect_list("tile").alias("tiles"), F.first("slots").alias("slots"))
         near = written(near, "simhash-tiles")
@@ -207,6 +207,15 @@ def links(prints: DataFrame) -> DataFrame:
     return found if heavy_links is None else found.union(heavy_links)
 
 
+def _classes(prints: DataFrame, least: Column) -> DataFrame:
+    """bits, first: for each fingerprint of prints the smallest value of least in its component."""
+    distinct = written(prints.groupBy("bits").agg(F.min(least).alias("least")), "simhash-distinct")
+    roots = star_forest(links(distinct.select("bits"))).toDF("bits", "root")
+    rooted = written(distinct.join(roots, "bits", "left").withColumn("root", F.coalesce("root", "bits")), "simhash-roots")
+    first = written(rooted.groupBy("root").agg(F.min("least").alias("first")), "simhash-components")
+    return written(rooted.join(first, "root").select("bits", "first"), "simhash-classes")
+
+
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable over links), a row for each row.
 
@@ -214,21 +223,23 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     a row of the same component. Null ids are kept and don't count for the smallest id. An empty table gives none.
     """
     prints = written(fingerprints(docs, id_col, text_col), "simhash")
-    distinct = written(prints.groupBy("bits").agg(F.min("doc_id").alias("least_id")), "simhash-distinct")
-    roots = star_forest(links(distinct.select("bits"))).toDF("bits", "root")
-    rooted = written(distinct.join(roots, "bits", "left").withColumn("root", F.coalesce("root", "bits")), "simhash-roots")
-    least = written(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "simhash-components")
-    classes = written(rooted.join(least, "root").select("bits", "component_id"), "simhash-classes")
+    classes = _classes(prints, F.col("doc_id")).withColumnRenamed("first", "component_id")
     return prints.join(classes, "bits").select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay when each component keeps one row, with their columns: that of its smallest id.
 
-    A null id counts as the hash of its text. Of rows with equal ids, that with the smallest hash of its text stays.
+    Null ids come last. Of a component's rows with that id, the one with the smallest hash of its text stays, and of rows
+    alike in both, one. Null and empty texts are one component. An empty table gives none.
     """
-    own = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.xxhash64(F.col(f"`{text_col}`")))
-    kept = components(docs.select(own.alias("doc_id"), F.col(f"`{text_col}`").alias("text"))).filter("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    met = docs.withColumn("__own", own).join(kept, F.col("__own") == F.col("__kept"), "left_semi")
-    first = F.row_number().over(Window.partitionBy("__own").orderBy(F.xxhash64(F.col(f"`{text_col}`"))))
-    return met.withColumn("__first", first).filter("__first = 1").select(*[f"`{c}`" for c in docs.columns])
+    text = F.col(f"`{text_col}`")
+    # Equal ids and texts have equal fingerprints, so that the pair names rows of one component.
+    own = F.struct(F.col(f"`{id_col}`").isNull().alias("last"), F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("hash"))
+    prints = written(fingerprints(docs.select(own.alias("own"), text.alias("text")), "own", "text").withColumnRenamed("doc_id", "own"), "simhash")
+    first, rank, kept = unused(docs, "first", "rank", "kept")
+    chosen = _classes(prints, F.col("own")).select(F.col("first").alias(kept)).distinct()
+    met = docs.withColumn(first, own).join(chosen, [F.col(f"{first}.{c}").eqNullSafe(F.col(f"{kept}.{c}")) for c in ("last", "id", "hash")], "left_semi")
+    plain = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    place = F.row_number().over(Window.partitionBy(first).orderBy(F.xxhash64(*plain)))
+    return met.withColumn(rank, place).filter(F.col(rank) == 1).select(*[f"`{c}`" for c in docs.columns])

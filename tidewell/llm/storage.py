@@ -6,9 +6,14 @@ from pyarrow import fs
 
 
 def resolve(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system and the path of a URI; file: may have any number of slashes."""
+    """The file system and the path of a URI; file: may have any number of slashes. Hadoop's s3a: and s3n: are Arrow's s3:.
+
+    Arrow takes keys, region and endpoint of S3 from the AWS_ variables or the machine's role.
+    """
     if uri.startswith("file:"):
         return fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
+    if uri.startswith(("s3a://", "s3n://")):
+        uri = "s3" + uri[3:]
     return fs.FileSystem.from_uri(uri)
 
 

@@ -5,23 +5,23 @@ that equal passages give equal chunks; a chunk is addressed by the SHA-256 of it
 meet first to raw packs. One owner is chosen for each address on the cluster, and each raw pack is rewritten with the
 chunks that it owns: a unique chunk is stored once, and only addresses and places are shuffled. A recipe has a document's
 addresses in order and their Merkle root; recipes lie in ascending order of id, each with the number of ids before it,
-and the manifest has a Merkle root for each recipe file and for the store. Reading checks all of these.
+and the manifest has a Merkle root for each part of the recipes, which together give the store's. Reading checks all of these.
 
 Format. A pack is a row of blocks, each a zstd frame of chunks one after the other; a chunk is its ids as little-endian
-unsigned integers of WIDTH bytes. `chunks` (Parquet) has address, pack, block offset and length, place in the unpacked
-block and number of ids. `recipes` (Parquet) has doc_id, start, n_tokens, root and the addresses. `manifest` has the roots.
+unsigned integers, of 2 bytes, or of 4 where the vocabulary has ids beyond 65,535. `chunks` (Parquet) has address, pack, block
+offset and length, place in the unpacked block and number of ids. `recipes` (Parquet) has doc_id, start, n_tokens, root, the
+addresses and the part, of PART ids each by start. `manifest` has each part's root and the width.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import re
-import sys
 import uuid
 import zlib
-from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,15 +36,16 @@ from tidewell.llm.storage import create, open_input, remove
 
 #: The id that ends a document.
 END = 1
-WIDTH = 2
+#: Ids of a part of the recipes, about; parts under one node of the store's tree.
+PART, PARTS = 1 << 18, 1 << 14
 #: The rolling hash covers this many ids; a chunk ends where MASK_BITS of its bits are zero, or at MOST ids. Chunks of 128 ids
 #: on average lie well below a usual document of some 600, so that documents share passages, not just whole texts.
 ROLL, MASK_BITS, MOST = 16, 7, 2048
 #: Unpacked bytes of a block, about. A pack goes on in a new file beyond PACK_BYTES.
 BLOCK_BYTES, PACK_BYTES = 1 << 17, 1 << 28
 LEVEL = 1
-#: Words, and blocks, that a worker keeps.
-KEPT_WORDS, KEPT_BLOCKS = 700_000, 64
+#: Words of up to KEPT_LETTERS characters, and blocks, that a worker keeps.
+KEPT_WORDS, KEPT_LETTERS, KEPT_BLOCKS = 700_000, 48, 64
 
 # Letters and digits of ASCII and Latin-1 as the tokenizer's pattern has them, in lower case.
 _LETTER = "a-zß-öø-ÿ"
@@ -61,30 +62,53 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Kept(dict):
-    """Ids of words, found by the given function when a word is first asked for."""
+    """Ids of words, found by the given function when a word is first asked for; long words aren't kept, nor more than most."""
 
-    def __init__(self, find: Callable[[str], bytes]) -> None:
+    def __init__(self, find: Callable[[str], bytes], most: int) -> None:
         super().__init__()
-        self.find = find
+        self.find, self.most = find, most
 
     def __missing__(self, word: str) -> bytes:
-        ids = self[word] = self.find(word)
+        ids = self.find(word)
+        if len(word) <= KEPT_LETTERS:
+            if len(self) >= self.most:
+                self.clear()
+            self[word] = ids
         return ids
 
 
+# The steps of the tokenizer whose words are cut here. Texts of other tokenizers go to the library as a whole.
+_STEPS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
+
 class Encoder:
-    """Encodes texts by the tokenizers library; the ids of a plain text's words are found once, and kept."""
+    """Encodes texts by the tokenizers library. Of the tokenizer of _STEPS, a plain text's words are found once, and kept."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.letters, self.words, self.signs = _byte_letters(), _Kept(self._word), _Kept(self._piece)
-        most = max(self.tokenizer.get_vocab().values())
-        if most >= 1 << 8 * WIDTH:
-            raise ValueError(f"id {most} doesn't fit into {WIDTH} bytes")
+        with open(path, encoding="utf-8") as file:
+            parts = json.load(file)
+        added = [x["content"] for x in parts.get("added_tokens") or []]
+        self.by_word = all(parts.get(k) == v for k, v in _STEPS.items()) and not parts["model"].get("dropout") and all(x.startswith("<|") for x in added)
+        self.letters, self.words, self.signs = _byte_letters(), _Kept(self._word, KEPT_WORDS), _Kept(self._piece, KEPT_WORDS // 8)
+        self.width = width_of(self.tokenizer)
+        self.end = self._packed([END])
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, f"<u{self.width}").tobytes()
 
     def _piece(self, piece: str) -> bytes:
         shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-        return _packed([t.id for t in self.tokenizer.model.tokenize(shown)])
+        return self._packed([t.id for t in self.tokenizer.model.tokenize(shown)])
 
     def _word(self, word: str) -> bytes:
         if word.isalpha():
@@ -92,23 +116,15 @@ class Encoder:
         return b"".join([self._piece(p) if p.isalpha() else self.signs[p] for p in _PIECE.findall(word)])
 
     def ids(self, text: str) -> bytes:
-        """The text's ids and END, as little-endian unsigned integers of WIDTH bytes."""
-        if not _PLAIN.fullmatch(text) or "<|" in text:
-            return _packed([*self.tokenizer.encode(text, add_special_tokens=False).ids, END])
-        if len(self.words) > KEPT_WORDS or len(self.signs) > KEPT_WORDS // 8:
-            self.words.clear()
-            self.signs.clear()
-        return b"".join(map(self.words.__getitem__, text.lower().split())) + _END
-
+        """The text's ids and END, as little-endian unsigned integers of width bytes."""
+        if not self.by_word or not _PLAIN.fullmatch(text) or "<|" in text:
+            return self._packed([*self.tokenizer.encode(text, add_special_tokens=False).ids, END])
+        return b"".join(map(self.words.__getitem__, text.lower().split())) + self.end
 
-def _packed(ids: list[int]) -> bytes:
-    out = array("H", ids)
-    if sys.byteorder == "big":
-        out.byteswap()
-    return out.tobytes()
 
-
-_END = _packed([END])
+def width_of(tokenizer: Tokenizer) -> int:
+    """Bytes of an id: 2 where all ids of the vocabulary fit, else 4."""
+    return 2 if max(END, *tokenizer.get_vocab(with_added_tokens=True).values()) < 1 << 16 else 4
 
 
 @functools.lru_cache(maxsize=1)
@@ -127,7 +143,7 @@ def cuts(ids: np.ndarray, lengths: list[int]) -> np.ndarray:
     ids before it.
     """
     ends = np.cumsum(lengths)
-    gear = _GEAR[ids]
+    gear = _GEAR[ids & 0xFFFF] ^ _GEAR[ids >> 16] if ids.dtype.itemsize > 2 else _GEAR[ids]
     pairs = gear.copy()
     pairs[1:] += gear[:-1] << np.uint64(1)
     total = np.cumsum(pairs, dtype=np.uint64)
@@ -142,26 +158,45 @@ def cuts(ids: np.ndarray, lengths: list[int]) -> np.ndarray:
     return np.concatenate([np.append(np.arange(e - g + MOST, e, MOST), e) for e, g in zip(found, gaps)])
 
 
-def merkle(leaves: list[bytes]) -> bytes:
-    """Root of a binary hash tree; an odd node goes up as it is. No leaves: the hash of nothing."""
-    if not leaves:
-        return hashlib.sha256(b"").digest()
-    while len(leaves) > 1:
-        pairs = [hashlib.sha256(b"\1" + leaves[i] + leaves[i + 1]).digest() for i in range(0, len(leaves) - 1, 2)]
-        leaves = pairs + leaves[len(leaves) & ~1 :]
-    return leaves[0]
+class Tree:
+    """A binary hash tree over leaves as they come; an odd node goes up as it is. It holds one node of each full height."""
+
+    def __init__(self) -> None:
+        self.n, self.nodes = 0, []
+
+    def add(self, leaf: bytes) -> None:
+        self.n += 1
+        k = self.n
+        while not k & 1:
+            leaf, k = _above(self.nodes.pop(), leaf), k >> 1
+        self.nodes.append(leaf)
+
+    def root(self) -> bytes:
+        """No leaves: the hash of nothing."""
+        return functools.reduce(lambda right, left: _above(left, right), reversed(self.nodes)) if self.nodes else hashlib.sha256(b"").digest()
+
+
+def _above(left: bytes, right: bytes) -> bytes:
+    return hashlib.sha256(b"\1" + left + right).digest()
+
+
+def merkle(leaves: Iterable[bytes]) -> bytes:
+    tree = Tree()
+    for leaf in leaves:
+        tree.add(leaf)
+    return tree.root()
 
 
 class _PackWriter:
     """Writes chunks to blocks of packs; a chunk's place is known when its block is full."""
 
-    def __init__(self, folder: str, kind: str) -> None:
-        self.folder, self.kind, self.out = folder, kind, None
+    def __init__(self, folder: str, kind: str, width: int) -> None:
+        self.folder, self.kind, self.width, self.out = folder, kind, width, None
         self.name, self.at, self.held, self.waiting, self.places = "", 0, [], [], []
         self.size, self.packer = 0, zstandard.ZstdCompressor(level=LEVEL)
 
     def add(self, address: bytes, data: bytes) -> None:
-        self.waiting.append((address, self.size, len(data) // WIDTH))
+        self.waiting.append((address, self.size, len(data) // self.width))
         self.held.append(data)
         self.size += len(data)
         if self.size >= BLOCK_BYTES:
@@ -208,16 +243,17 @@ def _encode(path: str, folder: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("tokens", _encoder.cache_clear)
-        encoder, packs, met = _encoder(path), _PackWriter(folder, "raw"), set()
+        encoder = _encoder(path)
+        width, packs, met = encoder.width, _PackWriter(folder, "raw", encoder.width), set()
         for batch in batches:
             for piece in pieces(batch):
                 streams = [encoder.ids(t) for t in text_strings(piece.column(1))]
-                lengths = [len(x) // WIDTH for x in streams]
+                lengths = [len(x) // width for x in streams]
                 data = b"".join(streams)
-                ends, rows, at, k = (cuts(np.frombuffer(data, "<u2"), lengths) * WIDTH).tolist(), [], 0, 0
+                ends, rows, at, k = (cuts(np.frombuffer(data, f"<u{width}"), lengths) * width).tolist(), [], 0, 0
                 last = 0
                 for doc, n in zip(piece.column(0).to_pylist(), lengths):
-                    own, last = [], last + n * WIDTH
+                    own, last = [], last + n * width
                     while at < last:
                         chunk = data[at : ends[k]]
                         own.append(address := hashlib.sha256(chunk).digest())
@@ -265,14 +301,14 @@ class _Blocks:
             file.close()
 
 
-def _compact(raw: str, folder: str):
+def _compact(raw: str, folder: str, width: int):
     """Owned chunks, sorted by raw pack and place, to final packs; their places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packs, blocks, names = _PackWriter(folder, "pack"), _Blocks(raw), [f.name for f in _PLACE_ARROW]
+        packs, blocks, names = _PackWriter(folder, "pack", width), _Blocks(raw), [f.name for f in _PLACE_ARROW]
         for batch in batches:
             for address, name, block, length, place, n in zip(*(batch.column(c).to_pylist() for c in names)):
-                packs.add(address, blocks.get(name, block, length)[place : place + n * WIDTH])
+                packs.add(address, blocks.get(name, block, length)[place : place + n * width])
             if found := packs.taken():
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*found), _PLACE_ARROW)], names)
         packs.close()
@@ -296,27 +332,27 @@ def _remove(folder: str):
     return run
 
 
-def _part_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Recipes sorted by part and start, to the Merkle root of each part's roots."""
-    held: dict[int, list[bytes]] = {}
-
-    def done() -> pa.RecordBatch:
-        part, roots = held.popitem()
-        return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([len(roots)], pa.int64()), pa.array([merkle(roots)], pa.binary())], ["part", "n", "root"])
-
+def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts and roots in order, to the number of roots of each part and their Merkle root."""
+    part, tree, out = None, Tree(), []
     for batch in batches:
-        for part, root in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if held and part not in held:
-                yield done()
-            held.setdefault(part, []).append(root)
-    if held:
-        yield done()
+        for own, root in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if own != part:
+                if part is not None:
+                    out.append((part, tree.n, tree.root()))
+                part, tree = own, Tree()
+            tree.add(root)
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary()))], ["part", "n", "root"])
+            out = []
+    if part is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([tree.n], pa.int64()), pa.array([tree.root()], pa.binary())], ["part", "n", "root"])
 
 
-def part_roots(recipes: DataFrame) -> DataFrame:
-    """part, n, root: a row for each part of the recipes."""
-    rows = recipes.repartition("part").sortWithinPartitions("part", "start").select("part", "root")
-    return rows.mapInArrow(_part_roots, "part long, n long, root binary")
+def part_roots(rows: DataFrame, part: str = "part", order: str = "start") -> DataFrame:
+    """part, n, root: a row for each part of rows with a root each, in the given order."""
+    dealt = rows.repartition(part).sortWithinPartitions(part, order).select(F.col(part).cast("long").alias("part"), "root")
+    return dealt.mapInArrow(_roots, "part long, n long, root binary")
 
 
 def write_store(docs: DataFrame, tokenizer: str, folder: str, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -332,25 +368,27 @@ def write_store(docs: DataFrame, tokenizer: str, folder: str, id_col: str = "doc
     places = encoded.select(F.explode("places").alias("p")).select("p.*")
     owned = places.groupBy("address").agg(F.min(F.struct("pack", "block", "length", "place", "n")).alias("p")).select("address", "p.*")
     owned = owned.repartition("pack").sortWithinPartitions("pack", "block", "place")
-    owned.mapInArrow(_compact(f"{folder}/raw", f"{folder}/packs"), _PLACE.replace(":", "")).write.parquet(f"{folder}/chunks")
+    width = width_of(Tokenizer.from_file(tokenizer))
+    owned.mapInArrow(_compact(f"{folder}/raw", f"{folder}/packs", width), _PLACE.replace(":", "")).write.parquet(f"{folder}/chunks")
     places.select("pack").distinct().mapInArrow(_remove(f"{folder}/raw"), "pack string").write.parquet(f"{folder}/removed")
 
     order = [F.col("doc_id").asc_nulls_first(), F.col("n_tokens"), F.col("root")]
     recipes = prefix_sum(encoded.filter("root is not null").drop("places"), order, "n_tokens", "start", "tokens-recipes")
     ranged = recipes.repartitionByRange(partitions(spark), "start").sortWithinPartitions("start")
-    ranged.withColumn("part", F.spark_partition_id().cast("long")).write.parquet(f"{folder}/recipes")
-    part_roots(spark.read.parquet(f"{folder}/recipes")).write.parquet(f"{folder}/manifest")
+    ranged.withColumn("part", F.floor(F.col("start") / PART)).write.parquet(f"{folder}/recipes")
+    part_roots(spark.read.parquet(f"{folder}/recipes")).withColumn("width", F.lit(width)).write.parquet(f"{folder}/manifest")
 
 
 def store_root(manifest: DataFrame) -> str:
-    """The Merkle root of the store, of the roots of its recipe parts (one a shuffle partition), as hex."""
-    return merkle([bytes(r[0]) for r in manifest.orderBy("part").select("root").collect()]).hex()
+    """The Merkle root of the store as hex: that of the roots of PARTS parts each, which are found on the cluster."""
+    groups = part_roots(manifest.withColumn("group", F.floor(F.col("part") / PARTS)), "group", "part")
+    return merkle(bytes(r[0]) for r in groups.orderBy("part").select("root").collect()).hex()
 
 
 _READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
-def _assemble(folder: str, with_ids: bool):
+def _assemble(folder: str, width: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = _Blocks(folder)
         for batch in batches:
@@ -358,9 +396,9 @@ def _assemble(folder: str, with_ids: bool):
             for doc, start, n, root, refs in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "start", "n_tokens", "root", "refs"))):
                 crc, seen, leaves, parts = 0, 0, [], []
                 for ref in refs:
-                    chunk = blocks.get(ref["pack"], ref["block"], ref["length"])[ref["place"] : ref["place"] + ref["n"] * WIDTH]
+                    chunk = blocks.get(ref["pack"], ref["block"], ref["length"])[ref["place"] : ref["place"] + ref["n"] * width]
                     leaves.append(hashlib.sha256(chunk).digest())
-                    wide = np.frombuffer(chunk, "<u2").astype("<u4")
+                    wide = np.frombuffer(chunk, f"<u{width}").astype("<u4")
                     crc, seen = zlib.crc32(wide, crc), seen + len(wide)
                     if with_ids:
                         parts.append(wide)
@@ -368,7 +406,7 @@ def _assemble(folder: str, with_ids: bool):
                     raise ValueError(f"document {doc} at {start}: its chunks don't have its recipe's root")
                 rows.append((doc, start, seen, crc, *([np.concatenate(parts)] if with_ids else [])))
             if rows:
-                kinds = [pa.int64()] * 4 + [pa.list_(pa.int32())] * with_ids
+                kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] * with_ids
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], ["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: 4 + with_ids])
         blocks.close()
 
@@ -378,18 +416,21 @@ def _assemble(folder: str, with_ids: bool):
 def read_store(spark, folder: str, with_ids: bool = False) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 and, if asked for, ids of each document, read from the store and checked.
 
-    Documents are read near the pack that has their first chunk; other chunks come from their own packs' blocks.
+    Documents are read near the pack that has their first chunk, those far apart in order by different tasks, so that a chunk
+    that begins very many documents brings them to no one task; other chunks come from their own packs' blocks.
     """
     recipes, chunks = spark.read.parquet(f"{folder}/recipes"), spark.read.parquet(f"{folder}/chunks")
     said, found = spark.read.parquet(f"{folder}/manifest"), part_roots(recipes)
-    if said.exceptAll(found).count() or found.exceptAll(said).count():
+    wrong = said.join(found.toDF("part", "n_", "root_"), "part", "full_outer").filter("not (n <=> n_ and root <=> root_)")
+    width = said.agg(F.max("width")).head()[0] or 2
+    if not wrong.isEmpty():
         raise ValueError(f"{folder}: the recipes don't have the manifest's roots")
     refs = recipes.select("doc_id", "start", "n_tokens", "root", F.posexplode("addresses").alias("seq", "address"))
     refs = refs.join(chunks, "address").select("doc_id", "start", "n_tokens", "root", F.struct("seq", "pack", "block", "length", "place", "n").alias("ref"))
     whole = refs.groupBy("start", "doc_id", "n_tokens", "root").agg(F.array_sort(F.collect_list("ref")).alias("refs"))
     home, area = F.col("refs")[0]["pack"], F.floor(F.col("refs")[0]["block"] / (8 << 20))
-    near = whole.withColumns({"_pack": home, "_area": area, "_block": F.col("refs")[0]["block"]}).repartition("_pack", "_area").sortWithinPartitions("_pack", "_block", "start")
-    return near.drop("_pack", "_area", "_block").mapInArrow(_assemble(f"{folder}/packs", with_ids), _READ + ", ids array<int>" * with_ids)
+    near = whole.withColumns({"_pack": home, "_area": area, "_block": F.col("refs")[0]["block"], "_part": F.floor(F.col("start") / PART)}).repartition("_pack", "_area", "_part").sortWithinPartitions("_pack", "_block", "start")
+    return near.drop("_pack", "_area", "_block", "_part").mapInArrow(_assemble(f"{folder}/packs", width, with_ids), _READ + ", ids array<long>" * with_ids)
 
 
 def round_trip(docs: DataFrame, tokenizer: str, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
