@@ -142,7 +142,8 @@ def test_rows_of_equal_ids_are_judged_by_their_texts(spark, make):
 
 
 def plain_edits(rows):
-    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    hashed = lambda t: (x := xxhash.xxh64_intdigest((t or "").encode(), 42)) - (x >> 63 << 64)
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), -hashed(r[1])))
     out = []
     for k, (i, text) in enumerate(order):
         text, after = text or "", order[(k + 1) % len(order)][1] or ""
@@ -156,7 +157,7 @@ def key(r):
 
 
 def test_edited_texts(spark, make, edges):
-    for rows in (edges, [(1, "alone here")], [(k * 7 % 101, f"text {k} " * (k % 5)) for k in range(100)]):
+    for rows in (edges, [(1, "alone here")], [(None, f"text {k}") for k in range(70)] + [(4, f"of equal id {k}") for k in range(70)], [(k * 7 % 101, f"text {k} " * (k % 5)) for k in range(100)]):
         got = fingerprints.edited_fingerprints(make(rows)).collect()
         assert sorted(((r.doc_id, r.n_chars, r.edited_sha256) for r in got), key=key) == sorted(plain_edits(rows), key=key)
     assert fingerprints.edited_fingerprints(make([])).collect() == []

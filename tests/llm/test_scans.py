@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidewell.llm import decontamination, pii, secrets
 
@@ -31,6 +32,7 @@ SECRETS = [
     (15, "token=" + "a" * 50_000),
     (16, "secret=abcdef " * 3000),
 ]
+LONG = [(17, "postgres://" + "u" * 300 + ":" + "p" * 4000 + "@host"), (18, "-----BEGIN " + "LONG LABEL " * 900 + "PRIVATE KEY----- 1http://u:pass@h")]
 
 
 def test_secrets_against_brute_force(spark, make, edges):
@@ -44,6 +46,27 @@ def test_secrets_against_brute_force(spark, make, edges):
     assert secrets.secrets(make([])).collect() == []
 
 
+def test_long_labels_and_passwords(spark, make):
+    spans = {r.doc_id: r.spans for r in secrets.secrets(make(LONG)).collect()}
+    assert spans == {17: f"urlauth:0:{len(LONG[0][1]) - 4}", 18: f"pem:0:{(at := 11 + 11 * 900 + 16)},urlauth:{at + 2}:{at + 16}"}
+
+
+def test_a_second_scan_moves_new_texts_only(spark, make, tmp_path, monkeypatch):
+    path, old = f"file://{tmp_path}/ledger", [(k, f"old text {k} token=abcdef{k} ") for k in range(200)]
+    secrets.secrets(make(old), ledger=path).collect()
+    moved, plain = [], secrets.scan
+
+    def counted(blobs, rules):
+        moved.append(blobs.count())
+        return plain(blobs, rules)
+
+    monkeypatch.setattr(secrets, "scan", counted)
+    rows = old + [(500 + k, f"new text {k} token=uvwxyz{k}") for k in range(3)] * 2
+    got = secrets.secrets(make(rows), ledger=path).collect()
+    assert moved == [3] and len(got) == len(rows)
+    assert sorted((r.doc_id, r.base_sha256) for r in got) == sorted((i, plain_secrets(t)[1]) for i, t in rows)
+
+
 def test_the_ledger_scans_only_what_is_new(spark, make, tmp_path):
     path, old = f"file://{tmp_path}/ledger", secrets.RULES[:2]
     secrets.secrets(make(SECRETS[:2]), ledger=path, rules=old).collect()
@@ -206,12 +229,45 @@ def test_larger_benchmarks_take_more_passes(spark, make, monkeypatch):
     bench = spark.createDataFrame(items, "item_id long, text string")
     whole = sorted(map(repr, decontamination.contamination(make(docs), bench).collect()))
     clean = sorted(r.doc_id for r in decontamination.clean_documents(make(docs), bench).collect())
-    monkeypatch.setattr(decontamination, "AUTOMATON_BYTES", 700)
-    assert len(list(decontamination.patterns(bench))) > 2
+    monkeypatch.setattr(decontamination, "AUTOMATON_WORDS", 20)
+    assert len(list(decontamination.items_of(bench))) > 2
     assert sorted(map(repr, decontamination.contamination(make(docs), bench).collect())) == whole
     assert sorted(r.doc_id for r in decontamination.clean_documents(make(docs), bench).collect()) == clean
 
 
+def test_anchors_find_every_window():
+    rng = random.Random(13)
+    for _ in range(300):
+        word = lambda: rng.choice("ab").encode()
+        items = [[word() for _ in range(rng.choice((1, 5, 12, 13, 14, 20, 27, 40)))] for _ in range(3)]
+        text = []
+        for _ in range(4):
+            own, at = (own := rng.choice(items)), rng.randrange(len(own))
+            text += [word() for _ in range(rng.randrange(4))] + own[at : at + rng.randrange(30)]
+        matcher = decontamination.Matcher(decontamination.Items("x", [w for i in items for w in i], list(map(len, items)), [(str(k),) for k in range(3)]))
+        hit, found = set(), set()
+        for k, own in enumerate(items):
+            for i in range(max(1, len(own) - 12)):
+                window = own[i : i + 13]
+                for at in range(len(text) - len(window) + 1):
+                    if text[at : at + len(window)] == window:
+                        hit |= set(range(at, at + len(window)))
+                        found.add(str(k))
+        got = matcher.scan(text)
+        assert (got[0].tolist(), got[1]) == (sorted(hit), found)
+
+
+def test_clean_documents_of_edges(spark, make, edges):
+    bench = spark.createDataFrame([(1, "one"), (2, "word " * 20)], "item_id long, text string")
+    docs = make(edges + edges)
+    for name in ("__hits", "hits", "WORDS", "row", "items", "spans", "__words"):
+        docs = docs.withColumn(name, F.lit(1))
+    got = decontamination.clean_documents(docs, bench)
+    assert got.columns == docs.columns
+    want = [i for i, t in edges if (t or "").split()[:1] not in (["one"], ["word"])]
+    assert sorted((r.doc_id or 0) for r in got.collect()) == sorted((i or 0) for i in want * 2)
+
+
 def test_hits_are_mapped_to_the_text(spark, make):
     bench = spark.createDataFrame([(1, "été, Two; three")], "item_id long, text string")
     row = decontamination.contamination(make([(1, "漢 – été... TWO\n(three) four été two three")]), bench).head()

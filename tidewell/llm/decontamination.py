@@ -1,15 +1,18 @@
-"""Benchmark decontamination: one Aho-Corasick automaton over the windows of all benchmark items scans each text once.
+"""Benchmark decontamination: one Aho-Corasick automaton over the words of all benchmark items scans each text once.
 
 Texts and items are normalised alike: A-Z lower-cased, words are runs of ASCII letters, digits and all characters beyond
-ASCII. A window is 13 consecutive words of an item, or a whole item of fewer words. The automaton's keys are windows with
-a space on either side; a match's end gives the word at which it ends, and that word's place in the original text.
+ASCII. A window is 13 consecutive words of an item, or a whole item of fewer words. Words of the benchmark are numbered, and
+the automaton reads numbers. Its keys are an item's anchors, the seven words at every seventh place, and whole shorter
+items: a window always holds an anchor, and takes one node a benchmark word instead of 13. Where an anchor occurs, the match
+is extended to both sides; from 13 words on, all its words are hit. Places of words give offsets of the original text.
 """
 
 from __future__ import annotations
 
 import functools
-import hashlib
-from collections.abc import Iterable, Iterator
+import uuid
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import ahocorasick
 import numpy as np
@@ -20,13 +23,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.llm.arrow import by_batch, claim, text_bytes
-from tidewell.llm.common import written
+from tidewell.llm.common import unused, written
 
 WINDOW = 13
+#: Words of an anchor: any WINDOW consecutive words hold a whole one.
+ANCHOR = (WINDOW + 1) // 2
 #: A document is contaminated when at least one word in 20 is hit.
 SHARE = 20
-#: Bytes of normalised windows in one automaton. Its nodes take some 50 times as much memory in each Python worker.
-AUTOMATON_BYTES = 8 << 20
+#: Words of benchmark items in one automaton, about: each takes some 100 bytes of memory in each Python worker.
+AUTOMATON_WORDS = 4 << 20
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -35,34 +40,72 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
 
-def windows_of(text: bytes) -> Iterable[bytes]:
-    words = words_of(text)
-    for i in range(max(1, len(words) - WINDOW + 1) if words else 0):
-        yield b" " + b" ".join(words[i : i + WINDOW]) + b" "
+@dataclass
+class Items:
+    """Some of the benchmark: the words of different items, one after the other, and the ids of each."""
+
+    key: str
+    words: list[bytes]
+    sizes: list[int]
+    ids: list[tuple[str, ...]]
+
+
+class Matcher:
+    """The automaton over the anchors of items, and the items' words as numbers; 0 is any other word."""
+
+    def __init__(self, items: Items) -> None:
+        self.number = {w: k for k, w in enumerate(dict.fromkeys(items.words), 1)}
+        self.ids = items.ids
+        flat = [self.number[w] for w in items.words]
+        self.own, at, keys = [], 0, {}
+        for k, n in enumerate(items.sizes):
+            own, at = flat[at : at + n], at + n
+            self.own.append(own)
+            if n < WINDOW:
+                keys.setdefault(tuple(own), []).append((k, -1))
+            else:
+                for i in range(0, n - ANCHOR + 1, ANCHOR):
+                    keys.setdefault(tuple(own[i : i + ANCHOR]), []).append((k, i))
+        self.machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        for key, places in keys.items():
+            self.machine.add_word(key, (len(key), places))
+        self.machine.make_automaton()
+
+    def scan(self, words: list[bytes]) -> tuple[np.ndarray, set[str]]:
+        """Places of the hit words, and the ids of the items whose windows occur."""
+        get = self.number.get
+        read = tuple([get(w, 0) for w in words])
+        if not any(read) or not self.own:
+            return np.empty(0, np.int64), set()
+        edges, found, done = np.zeros(len(words) + 1, np.int64), set(), {}
+        for end, (n, places) in self.machine.iter(read):
+            start = end - n + 1
+            for k, i in places:
+                if i < 0:  # a whole item
+                    a, b = start, end + 1
+                else:
+                    own, shift = self.own[k], start - i  # the text's place of the item's first word
+                    if done.get((k, shift), -1) > start:
+                        continue  # an earlier anchor's match goes on over this one
+                    a, b = start, end + 1
+                    while a > 0 and a > shift and read[a - 1] == own[a - 1 - shift]:
+                        a -= 1
+                    last = min(len(read), shift + len(own))
+                    while b < last and read[b] == own[b - shift]:
+                        b += 1
+                    done[k, shift] = b
+                    if b - a < WINDOW:
+                        continue
+                edges[a] += 1
+                edges[b] -= 1
+                found.add(k)
+        return np.flatnonzero(np.cumsum(edges[:-1]) > 0), {x for k in found for x in self.ids[k]}
 
 
 @functools.lru_cache(maxsize=1)
-def _automaton(digest: str, held: Broadcast) -> ahocorasick.Automaton:
-    """The automaton of a broadcast pattern list; kept by a worker for its later tasks."""
-    machine = ahocorasick.Automaton()
-    for key, items in held.value:
-        machine.add_word(key.decode("latin-1"), (key.count(b" ") - 1, items))
-    machine.make_automaton()
-    return machine
-
-
-def scan(text: bytes, machine: ahocorasick.Automaton) -> tuple[int, np.ndarray, set[str]]:
-    """Number of words, places of the hit words, and the items whose windows occur."""
-    words = words_of(text)
-    flat = b" " + b" ".join(words) + b" "
-    found = list(machine.iter(flat.decode("latin-1"))) if words and len(machine) else []
-    if not found:
-        return len(words), np.empty(0, np.int64), set()
-    spaces = np.flatnonzero(np.frombuffer(flat, np.uint8) == 32)
-    last = np.searchsorted(spaces, np.array([end for end, _ in found])) - 1  # word before the closing space
-    length = np.array([n for _, (n, _) in found])
-    edges = np.bincount(last - length + 1, minlength=len(words) + 1) - np.bincount(last + 1, minlength=len(words) + 1)
-    return len(words), np.flatnonzero(np.cumsum(edges[: len(words)]) > 0), {item for _, (_, items) in found for item in items}
+def _matcher(key: str, held: Broadcast) -> Matcher:
+    """The matcher of broadcast items; kept by a worker for its later tasks."""
+    return Matcher(held.value)
 
 
 def word_offsets(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -74,24 +117,30 @@ def word_offsets(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return points[np.flatnonzero(edge == 1)], points[np.flatnonzero(edge == -1)]
 
 
-def patterns(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[list[tuple[bytes, tuple[str, ...]]]]:
-    """Windows with the ids of their items, in lists of some AUTOMATON_BYTES; at least one. A null id counts as an empty one.
+def items_of(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[Items]:
+    """The benchmark's items in lists of some AUTOMATON_WORDS words; at least one. A null id counts as an empty one.
 
-    Items are read one at a time, so that the driver holds one list. A window that lies in items of several lists is in each.
+    Items are read one at a time, so that the driver holds one list. Items of the same words are one with several ids.
     """
-    keys: dict[bytes, set[str]] = {}
-    held = given = 0
     rows = benchmark.select(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")), F.col(f"`{text_col}`")).filter(F.col(f"`{text_col}`").isNotNull())
+    found: dict[tuple[bytes, ...], set[str]] = {}
+    held = given = 0
+
+    def done() -> Items:
+        return Items(uuid.uuid4().hex, [w for own in found for w in own], [len(own) for own in found], [tuple(sorted(x)) for x in found.values()])
+
     for item, text in rows.toLocalIterator():
-        for key in windows_of(text.encode()):
-            if key not in keys:
-                held += len(key)
-            keys.setdefault(key, set()).add(item)
-            if held > AUTOMATON_BYTES:
-                yield [(k, tuple(sorted(v))) for k, v in sorted(keys.items())]
-                keys, held, given = {}, 0, given + 1
-    if keys or not given:
-        yield [(k, tuple(sorted(v))) for k, v in sorted(keys.items())]
+        words = words_of(text.encode())
+        # A long item is cut into parts that have all its windows.
+        for at in range(0, max(1, len(words) - WINDOW + 1) if words else 0, AUTOMATON_WORDS):
+            own = tuple(words[at : at + AUTOMATON_WORDS + WINDOW - 1])
+            held += 0 if own in found else len(own)
+            found.setdefault(own, set()).add(item)
+            if held > AUTOMATON_WORDS:
+                yield done()
+                found, held, given = {}, 0, given + 1
+    if found or not given:
+        yield done()
 
 
 def _spans(text: bytes, hit: np.ndarray) -> list[dict]:
@@ -102,41 +151,73 @@ def _spans(text: bytes, hit: np.ndarray) -> list[dict]:
     return [{"start": int(starts[a]), "end": int(ends[b])} for a, b in zip(hit[np.concatenate(([0], cut + 1))], hit[np.concatenate((cut, [len(hit) - 1]))])]
 
 
-_MARKS = "__words long, __hits array<long>, __items array<string>, __spans array<struct<start: long, end: long>>"
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+_MARKS = (("words", pa.int64(), "long"), ("hits", pa.list_(pa.int64()), "array<long>"), ("items", pa.list_(pa.string()), "array<string>"), ("spans", pa.list_(_SPAN), "array<struct<start: long, end: long>>"))
+
 
+def _marks(text: bytes, hit: np.ndarray, items: set[str], n: int) -> tuple:
+    return n, hit, sorted(items), _spans(text, hit)
 
-def marked(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs and the columns of _MARKS: number of words, places of hit words, items, and runs of hit words as offsets.
 
-    A benchmark within AUTOMATON_BYTES takes one pass. A larger one takes a pass for each list of windows, written in
-    between, so that a worker never holds more than one automaton of that size.
+def marked(docs: DataFrame, benchmark: DataFrame, names: list[str], text_col: str = "text") -> DataFrame:
+    """docs and the columns of _MARKS by the given names: number of words, places of hit words, items, runs of hit words as offsets.
+
+    A benchmark within AUTOMATON_WORDS takes one pass. For a larger one, the rows are written once with a number; a pass
+    for each list of items gives the numbers, places and items of the rows that are hit, and these are brought together by
+    number before one last pass. A worker never holds more than one automaton.
     """
-    place = docs.columns.index(text_col)
-    spark, schema = docs.sparkSession, T.StructType([*docs.schema.fields, *T.StructType.fromDDL(_MARKS).fields])
-    for k, keys in enumerate(patterns(benchmark)):
-        digest, held = hashlib.sha256(repr(keys).encode()).hexdigest(), spark.sparkContext.broadcast(keys)
-
-        def mark(batch: pa.RecordBatch, again: bool = k > 0, digest: str = digest, held: Broadcast = held) -> pa.RecordBatch:
-            claim("decontamination", _automaton.cache_clear)
-            machine, out = _automaton(digest, held), []
-            earlier = zip(batch.column(batch.num_columns - 3).to_pylist(), batch.column(batch.num_columns - 2).to_pylist()) if again else None
+    spark, place = docs.sparkSession, docs.columns.index(text_col)
+    marks = ", ".join(f"`{n}` {kind}" for n, (_, _, kind) in zip(names, _MARKS))
+    schema = T.StructType([*docs.schema.fields, *T.StructType.fromDDL(marks).fields])
+    lists = items_of(benchmark)
+    first, second = next(lists), next(lists, None)
+
+    def scanned(items: Items):
+        held = spark.sparkContext.broadcast(items)
+        return lambda words: (claim("decontamination", _matcher.cache_clear), _matcher(held.value.key, held).scan(words))[1]
+
+    def with_marks(batch: pa.RecordBatch, found: list[tuple]) -> pa.RecordBatch:
+        own = [pa.array(x, kind) for x, (_, kind, _) in zip(zip(*found), _MARKS)] if found else [pa.array([], kind) for _, kind, _ in _MARKS]
+        return pa.RecordBatch.from_arrays([*batch.columns[: len(schema) - len(own)], *own], schema.names)
+
+    if second is None:
+        scan = scanned(first)
+
+        def mark(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found = []
             for text in text_bytes(batch.column(place)):
-                n, hit, items = scan(text, machine)
-                if earlier:
-                    hits, names = next(earlier)
-                    hit, items = np.union1d(hit, np.array(hits, np.int64)), items | set(names)
-                out.append((n, hit, sorted(items), _spans(text, hit)))
-            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(_SPAN)]
-            own = [pa.array(x, kind) for x, kind in zip(zip(*out), kinds)]
-            columns = batch.columns[: -len(own)] if again else batch.columns
-            return pa.RecordBatch.from_arrays([*columns, *own], schema.names)
+                words = words_of(text)
+                found.append(_marks(text, *scan(words), len(words)))
+            return with_marks(batch, found)
+
+        return docs.mapInArrow(by_batch(mark, place), schema)
+
+    row, hits, items = unused(docs, "row", "hits", "items")
+    docs = written(docs.withColumn(row, F.monotonically_increasing_id()), "decontamination")
+    parts = None
+    for own in (x for group in ((first, second), lists) for x in group):
+        scan = scanned(own)
+
+        def hit_rows(batch: pa.RecordBatch, scan=scan) -> pa.RecordBatch:
+            found = [(k, *f) for k, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))) if len((f := scan(words_of(text)))[0])]
+            return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.list_(pa.int64())), pa.array([sorted(f[2]) for f in found], pa.list_(pa.string()))], [row, hits, items])
 
-        docs = (written(docs, "decontamination") if k else docs).mapInArrow(by_batch(mark, place), schema)
-    return docs
+        part = written(docs.select(row, f"`{text_col}`").mapInArrow(by_batch(hit_rows), f"`{row}` long, `{hits}` array<long>, `{items}` array<string>"), "decontamination-hits")
+        parts = part if parts is None else parts.union(part)
+    joined = parts.groupBy(row).agg(F.array_distinct(F.flatten(F.collect_list(hits))).alias(hits), F.array_distinct(F.flatten(F.collect_list(items))).alias(items))
 
+    def bring(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = []
+        for text, own, names_ in zip(text_bytes(batch.column(place)), batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
+            found.append(_marks(text, np.array(sorted(own or ()), np.int64), set(names_ or ()), len(words_of(text))))
+        return with_marks(batch, found)
 
-CONTAMINATED = f"size(__hits) > 0 and {SHARE} * size(__hits) >= __words"
+    rows = docs.join(joined, row, "left").select(*[f"`{f.name}`" for f in schema.fields[: len(schema) - len(_MARKS)]], hits, items)
+    return rows.mapInArrow(by_batch(bring, place), schema)
+
+
+def _contaminated(words: str, hits: str) -> str:
+    return f"size(`{hits}`) > 0 and {SHARE} * size(`{hits}`) >= `{words}`"
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -146,10 +227,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     no words and are not contaminated. An empty benchmark hits nothing. Repeated rows each give a row.
     """
     own = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    sha = F.sha2(F.concat_ws(",", F.array_sort("__items")), 256)
-    return marked(own, benchmark).select("doc_id", F.col("__words").alias("n_words"), F.size("__hits").cast("long").alias("n_hit"), F.size("__items").cast("long").alias("n_items"), sha.alias("items_sha256"), F.expr(CONTAMINATED).alias("contaminated"), F.col("__spans").alias("hit_spans"))
+    names = [n for n, _, _ in _MARKS]
+    sha = F.sha2(F.concat_ws(",", F.array_sort("items")), 256)
+    return marked(own, benchmark, names).select("doc_id", F.col("words").alias("n_words"), F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), sha.alias("items_sha256"), F.expr(_contaminated("words", "hits")).alias("contaminated"), F.col("spans").alias("hit_spans"))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of docs that are not contaminated, with their columns. The rule meets each text where it lies: no join."""
-    return marked(docs, benchmark, text_col).filter(f"not ({CONTAMINATED})").select(*[f"`{c}`" for c in docs.columns])
+    """The rows of docs that are not contaminated, with their columns.
+
+    Null and empty texts stay, as they have no words; with an empty benchmark all rows stay. Each repeated row is judged
+    alike. An empty table gives none. Columns may have any names.
+    """
+    names = unused(docs, *[n for n, _, _ in _MARKS])
+    return marked(docs, benchmark, names, text_col).filter(f"not ({_contaminated(names[0], names[1])})").select(*[f"`{c}`" for c in docs.columns])

@@ -2,12 +2,15 @@
 
 Terms are lower-cased runs of letters and digits. The lexicon holds the terms whose inverse document frequency, over
 distinct texts, lies in a band; it is split into randomised subsets of several sizes. For each subset, a document's distinct
-terms in it are sorted and hashed. A document with terms, but none in the band, goes by all its terms. A fingerprint joins these hashes; the likeness of two is the share of subsets, of those where either document
-has a term, in which they agree.
+terms in it are sorted and hashed. A document with terms, but none in the band, goes by all its terms. A fingerprint joins
+these hashes; the likeness of two is the share of subsets, of those where either document has a term, in which they agree.
 """
 
 from __future__ import annotations
 
+import json
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -23,8 +26,8 @@ SLOTS = 1 << 15
 SUBSETS = ((1, 1), (16, 4), (64, 16), (256, 32), (1024, 32))
 #: Written for a subset in which a document has no term.
 NONE = "-"
-#: Ranges of ids for each shuffle partition.
-RANGES = 3
+#: Ranges of ids for each shuffle partition, and edges of ranges that are read one after the other.
+RANGES, CUT = 3, 32
 
 
 def terms(text: Column) -> Column:
@@ -95,41 +98,67 @@ def fingerprints(docs: DataFrame, text_col: str = "text", out: str = "subsets",
     return with_subset_hashes(rows, "_kept", out).drop("_terms", "_held", "_kept")
 
 
-def with_next(docs: DataFrame, id_col: str, carry: list[str]) -> DataFrame:
+def _edges(docs: DataFrame, key: Column, n: int) -> list[tuple[int, int, int]]:
+    """Lower edges of some n ranges of (has an id, id, hash of text), ascending.
+
+    Ids' quantiles are edges; an id that is several of them, and the null id by its share, is cut evenly by the hash.
+    """
+    ids, all_, none = docs.agg(F.percentile_approx(key, [k / n for k in range(1, n)], 20 * n), F.count("*"), F.count_if(key.isNull())).head()
+    often = Counter(ids or [])
+    parts = [(0, 0, max(1, -(-n * none // max(1, all_))))] + [(1, i, m) for i, m in sorted(often.items())]
+    return [(has, i, -(1 << 63) + (j << 64) // m) for has, i, m in parts for j in range(m)]
+
+
+_RANK = "struct<has: int, id: bigint, hash: bigint>"
+
+
+def _ranks(own: list) -> Column:
+    named = lambda e: dict(zip(("has", "id", "hash"), e)) if e else None
+    deep = bool(own) and isinstance(own[0], list)
+    return F.from_json(F.lit(json.dumps([[named(e) for e in g] for g in own] if deep else [named(e) for e in own])), f"array<array<{_RANK}>>" if deep else f"array<{_RANK}>")
+
+
+def _place(edges: list[tuple[int, int, int]], rank: Column) -> Column:
+    """Number of the last edge that is not above a row's rank: a list of every CUTth edge is read, then the CUT after the one found."""
+    below = lambda own: F.size(F.filter(own, lambda x: x <= rank))
+    groups = [edges[k : k + CUT] for k in range(0, len(edges), CUT)]
+    group = below(_ranks([g[0] for g in groups])) - 1
+    return group * CUT + below(F.get(_ranks(groups), group)) - 1
+
+
+def with_next(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
     """docs with columns next_<c> for c in carry: those of the next row by descending id; the last row's next is the first.
 
-    Ids are dealt to ranges, each a window of its own; a range also gets the first row of the next one. The ranges' first
-    ids, a few for each shuffle partition, go through the driver. Nulls come last; equal ids go by their texts.
+    Rows are dealt to ranges of ids, equal and null ids also by hashes of their texts, each range a window of its own; a
+    range also gets the first row of the next one. The ranges' edges and first rows' keys, a few for each shuffle
+    partition, go through the driver. Nulls come last; equal ids go by the hashes of their texts.
     """
-    spark, key = docs.sparkSession, F.col(id_col)
-    n = RANGES * partitions(spark)
-    edges = docs.agg(F.percentile_approx(id_col, [k / n for k in range(1, n)], 20 * n)).head()[0] or []
-    edges = sorted(set(edges))
-    place = F.when(key.isNull(), F.lit(0)).otherwise(F.size(F.filter(F.lit(edges).cast("array<bigint>"), lambda x: x < key)) + 1)
-    placed = docs.withColumn("_range", place)
-    first = dict(placed.groupBy("_range").agg(F.max(id_col)).collect())
+    key = F.col(id_col)
+    edges = _edges(docs, key, RANGES * partitions(docs.sparkSession))
+    rank = F.struct(key.isNotNull().cast("int").alias("has"), F.coalesce(key, F.lit(0).cast("long")).alias("id"), F.xxhash64(text_col).alias("hash"))
+    placed = docs.withColumn("_rank", rank).withColumn("_range", _place(edges, F.col("_rank")))
+    first = {r[0]: tuple(r[1]) for r in placed.groupBy("_range").agg(F.max("_rank")).collect()}
     order = sorted(first, reverse=True)
     before = {b: a for a, b in zip(order, order[1:])} | ({order[0]: order[-1]} if order else {})
-    size = len(edges) + 2
-    firsts = F.element_at(F.lit([first.get(k) for k in range(size)]).cast("array<bigint>"), F.col("_range") + 1)
-    to = F.element_at(F.lit([before.get(k, 0) for k in range(size)]).cast("array<int>"), F.col("_range") + 1)
+    firsts = F.get(_ranks([first.get(k) for k in range(len(edges))]), F.col("_range"))
+    to = F.get(F.lit([before.get(k, 0) for k in range(len(edges))]).cast("array<int>"), F.col("_range"))
     own = F.struct(F.col("_range").cast("int").alias("range"), F.lit(0).alias("copy"))
-    rows = placed.withColumn("_at", F.explode(F.when(key.eqNullSafe(firsts), F.array(own, F.struct(to.alias("range"), F.lit(1).alias("copy")))).otherwise(F.array(own))))
+    rows = placed.withColumn("_at", F.explode(F.when(F.col("_rank") == firsts, F.array(own, F.struct(to.alias("range"), F.lit(1).alias("copy")))).otherwise(F.array(own))))
     rows = rows.withColumns({"_range": F.col("_at.range"), "_copy": F.col("_at.copy")}).drop("_at")
-    window = Window.partitionBy("_range").orderBy("_copy", key.desc_nulls_last(), *[F.col(c) for c in carry])
-    return rows.withColumns({f"next_{c}": F.lead(c).over(window) for c in carry}).filter("_copy = 0").drop("_range", "_copy")
+    window = Window.partitionBy("_range").orderBy("_copy", F.col("_rank").desc(), *[F.col(c) for c in carry])
+    return rows.withColumns({f"next_{c}": F.lead(c).over(window) for c in carry}).filter("_copy = 0").drop("_range", "_copy", "_rank")
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next: a row for each row of docs.
 
     The edited text has the text's last floor(n_chars / 2) code points replaced by the first as many of the next document
-    by descending id. Null counts as empty; texts without any term have a fingerprint of empty parts, and two such are
+    by descending id, and of equal ids by descending hash of text. Null counts as empty; texts without any term have a fingerprint of empty parts, and two such are
     alike (1). Texts with terms, but none in the band, go by all their terms. A table of one row is its own next. An empty table gives none.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     held = lexicon(rows)
-    rows = with_next(fingerprints(rows, "text", "subsets", held), "doc_id", ["text", "subsets"])
+    rows = with_next(fingerprints(rows, "text", "subsets", held), "doc_id", "text", ["text", "subsets"])
     half = F.floor(F.col("n_chars") / 2).cast("int")
     rows = rows.withColumn("n_chars", F.length("text").cast("long"))
     rows = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int")), F.substring("next_text", F.lit(1), half))).drop("text", "next_text")

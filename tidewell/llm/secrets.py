@@ -40,15 +40,18 @@ RULES = (
     Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6, base=True),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20, ("AKIA",), base=True),
     Rule("hex", r"[0-9a-f]{24,}", 0, 24, base=True),
-    Rule("pem", r"-----BEGIN (?:[A-Z0-9]{1,20} ){0,4}PRIVATE KEY-----", 0, 1, ("PRIVATE KEY-----",)),
+    Rule("pem", r"-----BEGIN [A-Z0-9 ]++(?<= PRIVATE KEY)-----", 0, 1, ("PRIVATE KEY-----",)),
     Rule("github", r"(?:gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{40,})", 0, 40, ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_")),
     Rule("slack", r"\bxox[abeoprs]-[A-Za-z0-9-]{10,}", 0, 15, ("xox",)),
     Rule("jwt", r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 30, ("eyJ",)),
     Rule("google", r"\bAIza[A-Za-z0-9_-]{35}", 0, 39, ("AIza",)),
     Rule("stripe", r"[rs]k_(?:live|test)_[A-Za-z0-9]{16,}", 0, 24, ("k_live_", "k_test_")),
-    Rule("urlauth", r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,100}:[^\s/:@]{3,100}@", 0, 8, ("://",)),
+    Rule("urlauth", r"(?<![a-z])[a-z][a-z0-9+.-]++://[^\s/:@]++:[^\s/:@]{3,}+@", 0, 8, ("://",)),
 )
 
+#: Values of the short hash by which a scan passes over texts that the ledger has seen. It does so well while fewer blobs are new.
+PREFIXES = 1 << 20
+
 LEDGER = "blob binary, versions array<string>, found array<struct<version: string, start: long, end: long>>"
 
 
@@ -107,7 +110,11 @@ def update_ledger(texts: DataFrame, blobs: DataFrame, path: str, rules: tuple[Ru
     todo = F.array_except(versions, F.coalesce("seen", F.array().cast("array<string>")))
     unseen = blobs.select("blob").distinct().join(seen, "blob", "left").select("blob", todo.alias("todo")).filter(F.size("todo") > 0)
     unseen = written(unseen, "ledger-unseen")
-    # Of a blob's copies one text goes on; the others are dropped before the shuffle.
+    # Of a blob's copies one text goes on; the others are dropped before the shuffle. Where a ledger is there, texts whose
+    # blobs share no short hash with an unseen one stay where they lie: at most PREFIXES hashes go to all tasks.
+    if not seen.isEmpty():
+        prefix = F.pmod(F.xxhash64("blob"), F.lit(PREFIXES)).alias("prefix")
+        texts = texts.join(F.broadcast(unseen.select(prefix).distinct()), prefix == F.col("prefix"), "left_semi")
     once = texts.groupBy("blob").agg(F.first("text").alias("text")).join(unseen, "blob")
     found = scan(once, rules).groupBy("blob").agg(F.collect_list(F.struct("version", "start", "end")).alias("found"))
     none = F.array().cast("array<struct<version: string, start: long, end: long>>")
