@@ -74,14 +74,14 @@ def prefix_sum(df: DataFrame, order: Sequence[Column], value: str, out: str, nam
     Rows are dealt to range partitions and written; each partition's total (one row a partition) goes to the driver, and
     a running sum inside each partition is lifted by the totals before it. No task holds more than a range of rows.
     """
-    spark = df.sparkSession
-    ranged = df.repartitionByRange(partitions(spark), *order).withColumn("_part", F.spark_partition_id())
+    spark, (part,) = df.sparkSession, unused(df, "_part")
+    ranged = df.repartitionByRange(partitions(spark), *order).withColumn(part, F.spark_partition_id())
     ranged = written(ranged, name)
-    totals = dict(ranged.groupBy("_part").agg(F.sum(value).alias("n")).collect())
+    totals = dict(ranged.groupBy(part).agg(F.sum(value).alias("n")).collect())
     before, offsets = 0, []
-    for part in range(max(totals, default=0) + 1):
+    for k in range(max(totals, default=0) + 1):
         offsets.append(before)
-        before += totals.get(part) or 0
-    offset = F.element_at(F.lit(offsets).cast("array<bigint>"), F.col("_part") + 1)
-    running = F.sum(value).over(Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
-    return ranged.withColumn(out, (F.coalesce(running, F.lit(0)) + offset).cast("long")).drop("_part")
+        before += totals.get(k) or 0
+    offset = F.element_at(F.lit(offsets).cast("array<bigint>"), F.col(part) + 1)
+    running = F.sum(value).over(Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    return ranged.withColumn(out, (F.coalesce(running, F.lit(0)) + offset).cast("long")).drop(part)

@@ -1,18 +1,19 @@
 """Mixing sources to target weights by weighted fair queueing.
 
 Each source's documents are shuffled by a hash of their id. A copy of a document gets a virtual finish time: the tokens
-of its source up to and with this copy, divided by the source's target. All copies are sorted by that time over the whole
-cluster, and the sequence is cut at the total budget. A source that is given more than it has starts again from its
-first document, at most `max_epochs` times.
+of its source up to and with this copy, divided by the source's target. The copy that a source's target ends in is cut
+there, and finishes at time 1; what follows it is never sent. All copies are sorted by that time over the whole cluster, and
+the sequence is truncated at the total budget. A source that is given more than it has starts again from its first document,
+at most `max_epochs` times.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewell.llm.common import col_or_null, prefix_sum, word_count, written
+from tidewell.llm.common import col_or_null, prefix_sum, unused, word_count, written
 
 #: Sources in code-point order weigh these, repeating.
 WEIGHTS = (1, 2, 3)
@@ -42,57 +43,74 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epo
     return ranked.select("source", "source_size", "base", F.least("most", F.col("weight") * level).alias("target"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = 17) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken, first_finish: a row for each row of docs.
-
-    Whole documents are taken, in order of virtual finish time, while the budget (all tokens of docs) holds; the
-    document that would pass it ends the sequence. Null text has no tokens; null source is one source, sorted last.
-    Documents without tokens are never taken. Repeated rows and repeated ids are separate documents. An empty table
-    gives an empty result. The same rows give the same result, whatever their order and partitioning.
-    """
-    sized = docs.select(F.col(f"`{id_col}`").alias("doc_id"), col_or_null(docs, source_col).alias("source"), word_count(F.col(f"`{text_col}`")).alias("size"))
+def _plan(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], max_epochs: int, seed: int = 17) -> DataFrame:
+    """mix(), with columns text_hash and cut: the words of the one copy that is taken in part, else null."""
+    text = F.col(f"`{text_col}`")
+    sized = docs.select(F.col(f"`{id_col}`").alias("doc_id"), col_or_null(docs, source_col).alias("source"), word_count(text).alias("size"), F.xxhash64(text).alias("text_hash"))
     sized = written(sized.withColumn("_h", F.xxhash64(F.col("doc_id").cast("string"), F.lit(seed))), "mix-sizes")
     targets = source_targets(sized, weights, max_epochs)
     budget = int(sized.agg(F.sum("size")).head()[0] or 0)
 
-    order = [F.col("source").asc_nulls_last(), F.col("_h"), F.col("doc_id"), F.col("size")]
+    order = [F.col("source").asc_nulls_last(), F.col("_h"), F.col("doc_id"), F.col("size"), F.col("text_hash")]
     queued = prefix_sum(sized, order, "size", "_before", "mix-queues")
     # A source's row is one of few; a salt spreads the rows of a large source over several tasks.
     salts = 16
     spread = targets.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     queued = queued.withColumn("_salt", F.pmod("_h", F.lit(salts)).cast("int")).withColumnRenamed("source", "_source")
     queued = queued.join(spread, F.col("_source").eqNullSafe(F.col("source")) & (queued["_salt"] == spread["_salt"])).drop("_salt", "_source")
-    queued = queued.withColumn("_done", F.col("_before") - F.col("base") + F.col("size"))
+    queued = queued.withColumn("_first", F.col("_before") - F.col("base"))
     queued = written(queued.withColumn("_uid", F.monotonically_increasing_id()), "mix-finish")
 
     copies = queued.filter("size > 0 and target > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(max_epochs - 1))))
-    copies = copies.select("_uid", "doc_id", "_h", "copy", "size", "source", ((F.col("copy") * F.col("source_size") + F.col("_done")) / F.col("target")).alias("finish"))
+    begin = F.col("copy") * F.col("source_size") + F.col("_first")
+    copies = copies.withColumn("_words", F.least(F.col("size"), F.floor(F.col("target") - begin + 1e-6))).filter("_words > 0")
+    copies = copies.select("_uid", "doc_id", "_h", "copy", "size", "_words", "source", ((begin + F.col("_words")) / F.col("target")).alias("finish"))
     place = [F.col("finish"), F.col("_h"), F.col("doc_id"), F.col("source").asc_nulls_last(), F.col("copy"), F.col("_uid")]
-    taken = prefix_sum(copies, place, "size", "_sent", "mix-sequence").filter(F.col("_sent") + F.col("size") <= budget)
-    # Sums only grow along the sequence, so the copies that stay are its beginning.
-    taken = taken.groupBy("_uid").agg(F.count("*").alias("copies"), F.min("finish").alias("first_finish"))
-    out = queued.join(taken, "_uid", "left").withColumn("copies", F.coalesce("copies", F.lit(0)))
-    return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "first_finish")
+    taken = prefix_sum(copies, place, "_words", "_sent", "mix-sequence").withColumn("_words", F.least(F.col("_words"), F.lit(budget) - F.col("_sent"))).filter("_words > 0")
+    cut = F.max(F.when(F.col("_words") < F.col("size"), F.col("_words")))
+    taken = taken.groupBy("_uid").agg(F.count("*").alias("copies"), F.sum("_words").alias("taken"), cut.alias("cut"), F.min("finish").alias("first_finish"))
+    out = queued.join(taken, "_uid", "left")
+    return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("copies", F.lit(0)).alias("copies"), F.coalesce("taken", F.lit(0)).alias("taken"), "first_finish", "cut", "text_hash")
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = 17) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies, taken, first_finish: a row for each row of docs.
+
+    taken counts words, those of a cut copy in part: a source's taken words are its target, rounded down. Null text has no
+    tokens; null source is one source, sorted last. Documents without tokens are never taken. Repeated rows and repeated
+    ids are separate documents. An empty table gives an empty result. The same rows give the same result, whatever their
+    order and partitioning.
+    """
+    return _plan(docs, id_col, text_col, source_col, weights, max_epochs, seed).drop("cut", "text_hash")
+
+
+def first_words(text: Column, n: Column) -> Column:
+    """The text up to its n-th word."""
+    return F.array_join(F.slice(F.split(text, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"), F.lit(1), n.cast("int")), "")
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """The rows of docs that the mix takes, each as often as it is taken, with the columns of docs.
+    """The rows of docs that the mix takes, each as often as it is taken, with the columns of docs, which may have any names.
 
-    Rows with equal ids, sources and sizes are interchangeable: the copies due to them are dealt out among them in turn.
+    A copy that is cut has the text up to its last word that is taken; that is one copy a source at most. Rows with equal
+    ids, sources and texts are interchangeable: the copies due to them are dealt out among them in turn. Null texts and
+    texts without words are never taken; an empty table gives none.
     """
-    plan = written(mix(docs, id_col, text_col, source_col, weights, max_epochs).select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), "copies"), "mix-plan")
-    sums = written(plan.groupBy("__id", "__source").agg(F.sum("copies").alias("__due"), F.count("*").alias("__rows")), "mix-due")
-    own_id, own_source = F.col(f"`{id_col}`"), col_or_null(docs, source_col)
-    met = [own_id.eqNullSafe(F.col("__id")), own_source.eqNullSafe(F.col("__source"))]
+    names = unused(docs, "id", "source", "hash", "due", "rows", "cut", "copies", "copy")
+    id_, source, hash_, due, rows, cut, copies, copy = names
+    plan = _plan(docs, id_col, text_col, source_col, weights, max_epochs).select(F.col("doc_id").alias(id_), F.col("source").alias(source), F.col("text_hash").alias(hash_), "copies", "cut")
+    sums = plan.groupBy(id_, source, hash_).agg(F.sum("copies").alias(due), F.count("*").alias(rows), F.max("cut").alias(cut))
+    sums = written(sums.filter(F.col(due) > 0), "mix-due")
+    text = F.col(f"`{text_col}`")
+    met = [F.col(f"`{id_col}`").eqNullSafe(F.col(id_)), col_or_null(docs, source_col).eqNullSafe(F.col(source)), F.xxhash64(text) == F.col(hash_)]
     # One plan at every size: the sums grow with the documents, and are not to be broadcast because they happen to be small.
-    dealt = docs.join(sums.filter("__rows = 1 and __due > 0").hint("merge"), met).withColumn("__copies", F.col("__due"))
-    alike = sums.filter("__rows > 1 and __due > 0").select("__id", "__source")
+    dealt = docs.join(sums.filter(F.col(rows) == 1).hint("merge"), met).withColumn(copies, F.col(due)).withColumn(copy, F.lit(1))
+    alike = sums.filter(F.col(rows) > 1)
     if not alike.isEmpty():
-        due = plan.join(alike, plan["__id"].eqNullSafe(alike["__id"]) & plan["__source"].eqNullSafe(alike["__source"]), "left_semi")
-        due = due.groupBy("__id", "__source", "__size").agg(F.sum("copies").alias("__due"), F.count("*").alias("__rows")).filter("__due > 0")
-        rank = F.row_number().over(Window.partitionBy("__id", "__source", "__size").orderBy(F.xxhash64(F.col(f"`{text_col}`"))))
-        shared = docs.join(due, [*met, word_count(F.col(f"`{text_col}`")) == F.col("__size")])
-        shared = shared.withColumn("__copies", F.floor((F.col("__due") - rank) / F.col("__rows")) + 1)
-        dealt = dealt.unionByName(shared.drop("__size"))
-    dealt = dealt.filter("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
-    return dealt.select(*[F.col(f"`{c}`") for c in docs.columns])
+        rank = F.row_number().over(Window.partitionBy(id_, source, hash_).orderBy(F.lit(1)))
+        shared = docs.join(alike, met).withColumn(copy, rank)
+        dealt = dealt.unionByName(shared.withColumn(copies, F.floor((F.col(due) - F.col(copy)) / F.col(rows)) + 1))
+    # Of the copies due, numbered from 1, a row has every rows-th from its own rank on; the last one may be cut.
+    dealt = dealt.filter(F.col(copies) > 0).withColumn(copy, F.explode(F.sequence(F.col(copy).cast("long"), F.col(due).cast("long"), F.col(rows).cast("long"))))
+    own = F.when((F.col(copy) == F.col(due)) & F.col(cut).isNotNull(), first_words(text, F.col(cut))).otherwise(text)
+    return dealt.select(*[own.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])

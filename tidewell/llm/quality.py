@@ -2,7 +2,7 @@
 
 Overlapping heuristic labellers vote good, bad or nothing on every document. The counts of all vote patterns, a table of
 bounded size, go to the driver, where expectation-maximisation estimates each labeller's accuracy on good and on bad
-documents and the share of good ones. Each pattern's posterior then labels a bounded sample of documents, on which a linear
+documents and the share of good ones. The posteriors by that table label a bounded sample of documents, on which a linear
 scorer over hashed token features is trained in numpy. The scorer judges all documents.
 
 Toxic terms, words and beginnings of words, are learned from a bounded sample of labelled documents, whatever their language:
@@ -33,19 +33,16 @@ LABELLED, HELD_OUT = 6000, 4
 #: A toxic term begins a word by so many letters, or is a word; it stands in so many toxic documents, and takes this many times
 #: the share of toxic documents' words that it takes of others'.
 STARTS, TERM_DOCS, TERM_RATIO = (4, 5, 6, 7), 5, 8.0
-#: Share of insults of a toxic document's words, where there are no labels to learn it from.
-TOXIC_SHARE = 0.015
 #: Bytes of text that are read at once: each takes some 100 bytes of working memory.
 PIECE_BYTES = 3 << 20
 
-# Frequent short words of four languages, and plain insults.
+# Frequent short words of four languages.
 STOP_WORDS = frozenset(
     "a an and are as at be by for from in is it of on or that the this to was with "
     "der die das und ist in den von zu mit auf für ein eine sich im dem nicht "
     "le la les de des du et en un une est que qui dans pour sur au ce avec "
     "el los las y que se por con para una del al es lo como su".split()
 )
-INSULTS = frozenset("idiot moron scum worthless stupid disgusting pathetic trash loser clown".split())
 
 #: Votes.
 BAD, GOOD, NONE = 0, 1, 2
@@ -123,14 +120,16 @@ class Tokens:
         return np.bincount(self.doc, values, self.n)
 
 
-_STOP_HASHES, _INSULT_HASHES = (np.sort(Tokens([" ".join(sorted(words))]).word) for words in (STOP_WORDS, INSULTS))
+_STOP_HASHES = np.sort(Tokens([" ".join(sorted(STOP_WORDS))]).word)
+#: Without labels nothing is toxic.
+_NO_TERMS = (np.empty(0, np.uint64), float("inf"))
 
 
 def _said(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
-    return words[np.minimum(np.searchsorted(words, hashes), len(words) - 1)] == hashes
+    return words[np.minimum(np.searchsorted(words, hashes), len(words) - 1)] == hashes if len(words) else np.zeros(len(hashes), bool)
 
 
-def insult_shares(found: Tokens, terms: np.ndarray) -> np.ndarray:
+def toxic_shares(found: Tokens, terms: np.ndarray) -> np.ndarray:
     """The share of each text's words that are, or begin with, one of the sorted terms."""
     hit = np.logical_or.reduce([_said(h, terms) for h in (found.word, *found.starts)])
     return found.total(hit) / np.maximum(np.bincount(found.doc, minlength=found.n), 1)
@@ -200,23 +199,29 @@ def features(texts: list[str], tokens_: Tokens | None = None) -> tuple[np.ndarra
     return own, key % BUCKETS, np.sqrt(count / np.maximum(whole[own], 1))
 
 
+def posterior(patterns: np.ndarray, share: float, table: np.ndarray) -> np.ndarray:
+    """Of each row of votes, the probability of good."""
+    log = np.log(table)
+    good = ((patterns == BAD) @ (log[:, 1, 0] - log[:, 0, 0])) + ((patterns == GOOD) @ (log[:, 1, 1] - log[:, 0, 1])) + np.log(share / (1 - share))
+    return 1 / (1 + np.exp(-np.clip(good, -50, 50)))
+
+
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, prior: float = 0.02) -> tuple[float, np.ndarray, np.ndarray]:
     """Share of good documents, P(vote | class) as labellers x classes x (bad, good), and each pattern's posterior of good.
 
     It begins at the majority's view. A labeller that doesn't vote says nothing. Labellers are presumed to be right in four
     cases of five, as if so seen on a share prior of all documents, so that the classes can't change places.
     """
-    bad, good = (patterns == BAD).astype(float), (patterns == GOOD).astype(float)
-    post = 1 / (1 + np.exp(-np.clip(good.sum(axis=1) - 3 * bad.sum(axis=1), -8, 8)))
+    bad, good = patterns == BAD, patterns == GOOD
+    post = 1 / (1 + np.exp(-np.clip(good.sum(axis=1) - 3.0 * bad.sum(axis=1), -8, 8)))
     presumed = prior * max(counts.sum(), 1) * np.array([[0.8, 0.2], [0.2, 0.8]]) + 0.1
-    shown, share, table = np.stack((bad, good), axis=2), 0.5, None  # patterns x labellers x votes
+    share, table = 0.5, None
     for _ in range(rounds):
         weight = np.stack((counts * (1 - post), counts * post))
-        table = np.einsum("cp,pjv->jcv", weight, shown) + presumed
+        table = np.stack((weight @ bad, weight @ good), axis=2).transpose(1, 0, 2) + presumed
         table /= table.sum(axis=2, keepdims=True)
         share = float((weight[1].sum() + 1) / (counts.sum() + 2))
-        log = np.einsum("pjv,jcv->pc", shown, np.log(table)) + np.log([1 - share, share])
-        new = 1 / (1 + np.exp(np.clip(log[:, 0] - log[:, 1], -50, 50)))
+        new = posterior(patterns, share, table)
         moved, post = float(np.abs(new - post).max(initial=0)), new
         if moved < 1e-7:
             break
@@ -252,47 +257,49 @@ def fit(own: np.ndarray, bucket: np.ndarray, value: np.ndarray, label: np.ndarra
 
 
 def _vote_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's votes as a number of base 3, and how often it stands in the batch."""
     for batch in batches:
-        for piece in pieces(batch, limit=PIECE_BYTES):
-            words = ["".join(map(str, v)) for v in votes(text_strings(piece.column(1))).tolist()]
-            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(words, pa.string())], ["id", "pattern"])
+        for piece in pieces(batch, text=0, limit=PIECE_BYTES):
+            found = votes(text_strings(piece.column(0)))
+            code, n = np.unique(found @ 3 ** np.arange(found.shape[1], dtype=np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["pattern", "n"])
 
 
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in pieces(batch, limit=PIECE_BYTES):
-            texts = text_strings(piece.column(1))
+        for piece in pieces(batch, text=0, limit=PIECE_BYTES):
+            texts = text_strings(piece.column(0))
             read = Tokens(texts)
             found = votes(texts, read)
             own, bucket, value = features(texts, read)
             cuts = np.searchsorted(own, np.arange(1, len(texts)))
-            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(["".join(map(str, v)) for v in found.tolist()]), pa.array(np.split(bucket.astype(np.int32), cuts), pa.list_(pa.int32())), pa.array(np.split(value.astype(np.float32), cuts), pa.list_(pa.float32()))], ["id", "pattern", "buckets", "values"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(found.astype(np.int8)), pa.list_(pa.int8())), pa.array(np.split(bucket.astype(np.int32), cuts), pa.list_(pa.int32())), pa.array(np.split(value.astype(np.float32), cuts), pa.list_(pa.float32()))], ["votes", "buckets", "values"])
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_docs: int = FIT_DOCS) -> tuple[Scorer, dict[str, float], np.ndarray]:
-    """The scorer, the posterior of each vote pattern, and the labellers' P(vote | class).
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_docs: int = FIT_DOCS) -> tuple[Scorer, float, np.ndarray] | None:
+    """The scorer, the share of good documents and the labellers' P(vote | class); None without a row.
 
-    Patterns are counted over all documents. The scorer is fitted on about fit_docs of them, chosen by a hash of their ids.
+    Patterns are counted over all documents; their table, two numbers a pattern, has 3 ** labellers rows at most (77 MB), and
+    only those that occur. The scorer is fitted on about fit_docs rows, chosen by a hash of id and text, rows alike in both as one.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    counted = rows.mapInArrow(_vote_batches, "id string, pattern string").groupBy("pattern").agg(F.count("*").alias("n"))
-    counts = dict(counted.collect())
-    names = sorted(counts)
-    if not names:
-        return Scorer(np.zeros(BUCKETS), 0.0), {}, np.empty(0)
-    total = sum(counts.values())
-    patterns = np.array([[int(v) for v in p] for p in names])
-    _, table, post = estimate(patterns, np.array([counts[p] for p in names], float))
-    posterior = dict(zip(names, post.tolist()))
-    chosen = rows.filter(F.pmod(F.xxhash64(F.coalesce("id", F.lit(""))), F.lit(1 << 20)) < (1 << 20) * min(1.0, fit_docs / total))
-    own, bucket, value, label = [], [], [], []
-    for _, pattern, buckets, values in chosen.mapInArrow(_feature_batches, "id string, pattern string, buckets array<int>, values array<float>").toLocalIterator():
-        own.append(np.full(len(buckets), len(label)))
+    counted = rows.select("text").mapInArrow(_vote_batches, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").toArrow()
+    code, counts = (counted.column(k).to_numpy() for k in range(2))
+    if not len(code):
+        return None
+    labellers = votes([""]).shape[1]
+    patterns = np.stack([(code // 3**k % 3).astype(np.int8) for k in range(labellers)], axis=1)
+    share, table, _ = estimate(patterns, counts.astype(float))
+    some = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) < (1 << 20) * min(1.0, fit_docs / int(counts.sum()))
+    found = rows.filter(some).distinct().select("text").mapInArrow(_feature_batches, "votes array<byte>, buckets array<int>, values array<float>")
+    own, bucket, value, seen = [], [], [], []
+    for voted, buckets, values in found.toLocalIterator():
+        own.append(np.full(len(buckets), len(seen)))
         bucket.append(np.array(buckets, np.int64))
         value.append(np.array(values))
-        label.append(posterior[pattern])
+        seen.append(voted)
     joined = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (own, bucket, value)]
-    return fit(*joined, np.array(label)), posterior, table
+    return fit(*joined, posterior(np.array(seen, np.int8).reshape(-1, labellers), share, table)), share, table
 
 
 def _term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,35 +326,35 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     return rows.join(F.broadcast(known), "id").groupBy("text").agg(F.max("toxic").alias("toxic")).select("toxic", "text")
 
 
-def insults(docs: DataFrame, labels: DataFrame | None, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, float]:
+def toxic_terms(docs: DataFrame, labels: DataFrame | None, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, float]:
     """Hashes of the toxic terms, sorted, and the least share of them among a toxic text's words.
 
-    The plain insults are always among them. Without labels, or with fewer than TERM_DOCS toxic ones, there are no others.
+    Without labels, or with fewer than TERM_DOCS toxic ones, there are none, and no text is toxic.
     """
     if labels is None:
-        return _INSULT_HASHES, TOXIC_SHARE
+        return _NO_TERMS
     sample = written(labelled_sample(docs, labels, id_col, text_col), "quality-labelled")
     n = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if n.get(True, 0) < TERM_DOCS or not n.get(False):
-        return _INSULT_HASHES, TOXIC_SHARE
+        return _NO_TERMS
     bad, clean = F.col("toxic"), ~F.col("toxic")
     seen = sample.mapInArrow(_term_batches, "term long, toxic boolean, share double").groupBy("term")
     seen = seen.agg(F.count_if(bad).alias("bad"), F.count_if(clean).alias("clean"), F.sum(F.when(bad, F.col("share")).otherwise(0.0)).alias("in_bad"), F.sum(F.when(clean, F.col("share")).otherwise(0.0)).alias("in_clean"))
     often = F.col("in_bad") / n[True] > TERM_RATIO * (F.col("in_clean") + 1e-3) / n[False]
     often &= F.col("bad") / n[True] > 3 * F.col("clean") / n[False]
     found = seen.filter((F.col("bad") >= TERM_DOCS) & often).select("term").collect()
-    terms = np.union1d(np.array([r[0] for r in found], np.int64).view(np.uint64), _INSULT_HASHES)
+    terms = np.sort(np.array([r[0] for r in found], np.int64).view(np.uint64))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, limit=PIECE_BYTES):
-                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(insult_shares(Tokens(text_strings(piece.column(1)), True), terms))], ["toxic", "share"])
+                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(toxic_shares(Tokens(text_strings(piece.column(1)), True), terms))], ["toxic", "share"])
 
     pairs = sample.mapInArrow(measure, "toxic boolean, share double").collect()
     toxic, share = np.array([r[0] for r in pairs]), np.array([r[1] for r in pairs])
     steps = np.unique(share[share > 0])
     if not len(steps):
-        return terms, TOXIC_SHARE
+        return _NO_TERMS
     right = len(toxic) - np.searchsorted(np.sort(share), steps), toxic.sum() - np.searchsorted(np.sort(share[toxic]), steps)
     return terms, float(steps[np.argmax(2 * right[1] / (right[0] + toxic.sum()))])
 
@@ -355,22 +362,22 @@ def insults(docs: DataFrame, labels: DataFrame | None, id_col: str = "doc_id", t
 def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_docs: int = FIT_DOCS, labels: DataFrame | None = None) -> DataFrame:
     """doc_id, quality (0 to 1), pattern (the labellers' votes), weak_label (their posterior), toxic, keep: a row a row.
 
-    toxic: toxic terms, learned from labels (doc_id, toxic) where these are given, take the share of its words that insults()
-    says. keep: quality of KEEP_SCORE or more, and not toxic. Null and empty texts have quality 0 and aren't kept. Repeated rows
+    toxic: toxic terms, learned from labels (doc_id, toxic), take the share of its words that toxic_terms() says; false without
+    labels. keep: quality of KEEP_SCORE or more, and not toxic. Null and empty texts have quality 0 and aren't kept. Repeated rows
     each give a row. An empty table gives none.
     """
-    scorer, posterior, _ = train(docs, id_col, text_col, fit_docs)
-    held = docs.sparkSession.sparkContext.broadcast((scorer, posterior, *insults(docs, labels, id_col, text_col)))
+    model = train(docs, id_col, text_col, fit_docs) or (None, 0.5, None)
+    held = docs.sparkSession.sparkContext.broadcast((model, *toxic_terms(docs, labels, id_col, text_col)))
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, known, terms, least = held.value
+        (scorer, share, table), terms, least = held.value
         for batch in batches:
             for piece in pieces(batch, limit=PIECE_BYTES):
                 texts = text_strings(piece.column(1))
                 read = Tokens(texts, True)
-                found, toxic = votes(texts, read), insult_shares(read, terms) >= least
-                words, scores = ["".join(map(str, v)) for v in found.tolist()], own.scores(len(texts), *features(texts, read))
-                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(scores), pa.array(words, pa.string()), pa.array([known.get(w, 0.5) for w in words], pa.float64()), pa.array(toxic, pa.bool_()), pa.array((scores >= KEEP_SCORE) & ~toxic)], ["doc_id", "quality", "pattern", "weak_label", "toxic", "keep"])
+                found, toxic = votes(texts, read), toxic_shares(read, terms) >= least
+                words, scores = ["".join(map(str, v)) for v in found.tolist()], scorer.scores(len(texts), *features(texts, read))
+                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(scores), pa.array(words, pa.string()), pa.array(posterior(found, share, table)), pa.array(toxic, pa.bool_()), pa.array((scores >= KEEP_SCORE) & ~toxic)], ["doc_id", "quality", "pattern", "weak_label", "toxic", "keep"])
 
     return rows.mapInArrow(judge, f"doc_id {dict(rows.dtypes)['doc_id']}, quality double, pattern string, weak_label double, toxic boolean, keep boolean")
