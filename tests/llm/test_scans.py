@@ -107,46 +107,73 @@ def test_base_spans_against_the_patterns():
         assert pii.base_spans(text) == plain_personal(text), text
 
 
+def test_long_parts_of_addresses():
+    assert pii.base_spans("0" * 401 + ".1.2.3") == [(1, 0, 407)]
+    assert pii.base_spans("0" * 5000 + ".1.2.3") == [(1, 0, 5006)] and pii.base_spans("1" * 401 + ".1.2.3") == []
+
+
+def test_all_spans_of_a_text_are_labelled():
+    text = " ".join(f"user{k}@host.example" for k in range(45)) + " and +1 (555) 123-4567 at the end"
+    found = pii.cut(text, pii.base_spans(text))
+    assert len(found) <= pii.OWN + pii.NUMBERS + pii.OTHERS
+    kept = [pii.cut(text, pii.base_spans(text), seed) for seed in range(40)]
+    assert any((y == 7).any() for pieces in kept for _, y in pieces)
+    assert all(y[k] for pieces in kept for x, y in pieces for k in np.flatnonzero(x == ord("@")))
+
+
 @pytest.fixture(scope="module")
 def tagger():
-    made = [x for k, (text, spans) in enumerate(pii.made_up(1500)) for x in pii.cut(text, spans, k)]
+    made = [x for k, (text, spans) in enumerate(pii.made_up(pii.MADE)) for x in pii.cut(text, spans, k)]
     p, losses = pii.train(made)
     assert np.mean(losses[-20:]) < np.mean(losses[:20]) / 10
     return pii.Tagger(p)
 
 
 def test_the_model_finds_held_out_spans(tagger):
-    unseen = pii.made_up(400, seed=99)
-    found = tagger.tag([t for t, _ in unseen])
-    spans = [(k, s) for k, (_, own) in enumerate(unseen) for s in own]
-    hit = sum(any(s[0] == t[0] and t[1] < s[2] and s[1] < t[2] for t in found[k]) for k, s in spans)
-    assert hit / len(spans) > 0.95
-    wrong = sum(not any(t[1] < s[2] and s[1] < t[2] for s in unseen[k][1]) for k, own in enumerate(found) for t in own)
-    assert wrong / len(unseen) < 0.1
+    unseen = pii.made_up(600, seed=99)
+    base = [set(pii.base_spans(t)) for t, _ in unseen]
+    found = [set(own) for _, own in pii.all_spans([t for t, _ in unseen], tagger)]
+    hidden = [(k, s) for k, (_, own) in enumerate(unseen) for s in own if not any(s[0] == x[0] and x[1] < s[2] and s[1] < x[2] for x in base[k])]
+    hit = sum(any(s[0] == t[0] and t[1] < s[2] and s[1] < t[2] for t in found[k]) for k, s in hidden)
+    assert len(hidden) > 150 and hit / len(hidden) > 0.9
+    added = [(k, t) for k, own in enumerate(found) for t in own - base[k]]
+    right = sum(any(t[1] < s[2] and s[1] < t[2] for s in unseen[k][1]) for k, t in added)
+    assert right / len(added) > 0.95
+
+
+def test_values_side_by_side_are_each_found(tagger):
+    card, texts = "4465758382889437", {}
+    texts[f"domiez ciónógaí {card} {card} doí coez"] = ["card:16:32", "card:33:49"]
+    texts["call them (555) 123-4567 (555) 987-6543 in the morning"] = ["phone:10:24", "phone:25:39"]
+    texts["write to mara.tide (at) well (dot) org or come by"] = ["email:9:39"]
+    for text, want in texts.items():
+        base, spans = pii.all_spans([text], tagger)[0]
+        assert base == [] and pii._written(spans).split(",") == want, text
+
+
+def test_a_saved_model_is_the_same(tagger, tmp_path):
+    pii.save(tagger, uri := f"file://{tmp_path}/models/pii")
+    texts = [t for t, _ in pii.made_up(40, seed=5)]
+    assert pii.load(uri).tag(texts) == tagger.tag(texts)
 
 
 def test_gradients():
     rng, p = np.random.default_rng(8), pii.new_parameters(1)
     chars, labels = rng.integers(32, 127, (7, 3)), rng.integers(0, pii.LABELS, (7, 3))
 
-    def loss(grad=None):
-        sides = {w: pii._forward(p, w, chars) for w in "fb"}
-        scores = sides["f"][0] @ p["vf"] + sides["b"][0] @ p["vb"] + p["bias"]
+    def loss():
+        scores, held = pii._scores(p, chars)
         value, by_score, by_move = pii._crf_gradient(scores, p["move"], labels)
-        if grad is not None:
-            grad["move"] += by_move
-            for w, (states, kept) in sides.items():
-                pii._backward(p, grad, w, chars, kept, by_score @ p[f"v{w}"].T)
-        return value
-
-    grad = {k: np.zeros_like(v) for k, v in p.items()}
-    loss(grad)
-    for name in ("move", "uf", "ub", "xf"):
+        return value, held, by_score, by_move
+
+    _, held, by_score, by_move = loss()
+    grad = pii._scores_gradient(p, held, by_score) | {"move": by_move}
+    for name in ("move", "uf", "ub", "xf", "xb", "vf", "vb", "bias"):
         place = np.unravel_index(np.abs(grad[name]).argmax(), grad[name].shape)
         p[name][place] += 1e-5
-        up = loss()
+        up = loss()[0]
         p[name][place] -= 2e-5
-        down = loss()
+        down = loss()[0]
         p[name][place] += 1e-5
         assert abs((up - down) / 2e-5 - grad[name][place]) < 1e-4 * max(1, abs(grad[name][place]))
 
@@ -171,14 +198,15 @@ def test_spans_across_windows_are_joined(tagger):
 
 def test_personal_data_of_edges(spark, make, edges, tagger):
     rows = edges + [(30, "call (555) 123-4567 or a@b.cd"), (31, "a@b.cd"), (31, "a@b.cd")]
-    got = pii.personal_data(make(rows), model=lambda _: tagger).collect()
+    got = pii.personal_data(make(rows), model=tagger).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in got) == sorted((i is None, i or 0) for i, _ in rows)
     for r in got:
         if r.doc_id in (1, 2, 3):
             assert (r.n_email, r.spans, r.base_sha256) == (0, "", hashlib.sha256(b"").hexdigest())
     assert {r.spans for r in got if r.doc_id == 31} == {"email:0:6"}
     assert next(r.spans for r in got if r.doc_id == 30).endswith("phone:5:19")
-    assert pii.personal_data(make([]), model=lambda _: tagger).collect() == []
+    assert all(r.private == bool(r.spans) for r in got)
+    assert pii.personal_data(make([]), model=tagger).collect() == []
 
 
 def test_the_model_learns_without_documents(spark, make, monkeypatch):
@@ -242,7 +270,8 @@ def test_anchors_find_every_window():
         items = [[word() for _ in range(rng.choice((1, 5, 12, 13, 14, 20, 27, 40)))] for _ in range(3)]
         text = []
         for _ in range(4):
-            own, at = (own := rng.choice(items)), rng.randrange(len(own))
+            own = rng.choice(items)
+            at = rng.randrange(len(own))
             text += [word() for _ in range(rng.randrange(4))] + own[at : at + rng.randrange(30)]
         matcher = decontamination.Matcher(decontamination.Items("x", [w for i in items for w in i], list(map(len, items)), [(str(k),) for k in range(3)]))
         hit, found = set(), set()

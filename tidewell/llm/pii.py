@@ -3,16 +3,19 @@
 A text is cut into overlapping windows. Forward and backward cells, with straight-line gates, read every character of
 every window; their sums score each character's kinds, and a CRF's best path labels the window. A window whose scores
 can't beat the path of no kind needs no decoding. Where windows overlap, the one whose edge is further away decides, and the
-joined labels of the whole text give spans. Spans of the model that hold no data of their kind, by a plain check, or touch
-a base span are left out; base spans always stay.
+joined labels of the whole text give stretches, each with a beginning of its own. A stretch is trimmed to the values in it;
+a value that holds no data of its kind, by a plain check of it alone, or touches a base span is left out. Base spans always
+stay.
 
 Training spans are the base patterns' in a bounded sample of documents, and made-up ones in made-up prose with forms that
-the base patterns miss.
+the base patterns miss: values written twice or side by side, in words or in other signs. Numbers of the documents that are
+no personal data, and made-up ones, are trained as nothing.
 """
 
 from __future__ import annotations
 
 import hashlib
+import io
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -23,17 +26,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.arrow import pieces, text_strings
+from tidewell.llm.storage import create, open_input
 
 KINDS = ("email", "ip", "card", "phone")
 #: Windows of WINDOW characters begin STRIDE apart.
 WINDOW, STRIDE = 512, 448
 #: Cells of a direction, and windows that are read side by side.
-CELLS, SIDE = 8, 2048
-#: Documents of the training sample, about, with signs of personal data and as many without: its documented bound.
-FIT_DOCS = 600
-STEPS, BATCH, LENGTH, RATE = 360, 48, 72, 0.02
-#: Pieces without a span that each document of the sample gives.
-OTHERS = 4
+CELLS, SIDE = 12, 2048
+#: Documents of the training sample, about: its documented bound.
+FIT_DOCS = 2400
+STEPS, BATCH, LENGTH, RATE = 750, 64, 72, 0.02
+#: Pieces that each document of the sample gives, at most: around spans, around other numbers, and anywhere.
+OWN, NUMBERS, OTHERS = 8, 3, 2
 
 # The contract's patterns. An ip match can only begin where its digits begin; saying so spares long numbers
 # from being read once for each digit.
@@ -60,7 +64,7 @@ def luhn(number: str) -> bool:
 
 def valid(kind: str, found: str) -> bool:
     if kind == "ip":
-        return all(len(x) <= 400 and int(x) <= 255 for x in found.split("."))
+        return all(len(x := part.lstrip("0")) <= 3 and int(x or 0) <= 255 for part in found.split("."))
     if kind == "card":
         return 13 <= len(d := digits(found)) <= 19 and luhn(d)
     return kind != "phone" or 9 <= len(digits(found)) <= 15
@@ -98,7 +102,8 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
 
 # --- the model -----------------------------------------------------------------------------------------------------
 
-LABELS = 1 + len(KINDS)
+#: No kind, then for each kind the beginning of a span and the rest of it.
+LABELS = 1 + 2 * len(KINDS)
 #: Classes of characters: ASCII as it is, then letters, capitals and others beyond.
 CLASSES = 132
 
@@ -130,65 +135,71 @@ def new_parameters(seed: int = 5) -> dict[str, np.ndarray]:
     return out
 
 
-def _forward(p: dict, way: str, chars: np.ndarray) -> tuple[np.ndarray, list]:
-    """States of a direction (steps x batch x cells), and what training needs of each step."""
+def _scores(p: dict, chars: np.ndarray) -> tuple[np.ndarray, tuple]:
+    """Scores of each character's labels (steps x batch x labels), and what training needs of each step.
+
+    Both directions advance together; the backward one reads the characters from the end.
+    """
     steps, batch = chars.shape
-    h = c = np.zeros((batch, CELLS))
-    states, kept = np.empty((steps, batch, CELLS)), []
-    for t in range(steps) if way == "f" else range(steps - 1, -1, -1):
-        z = p[f"x{way}"][chars[t]] + h @ p[f"u{way}"]
-        gates, cand = np.clip(0.25 * z[:, : 3 * CELLS] + 0.5, 0, 1), np.clip(z[:, 3 * CELLS :], -1, 1)
-        i, f, o = gates[:, :CELLS], gates[:, CELLS : 2 * CELLS], gates[:, 2 * CELLS :]
+    read = np.stack((chars, chars[::-1]), axis=1)  # steps x directions x batch
+    table, u = (np.stack((p[f"{k}f"], p[f"{k}b"])) for k in "xu")
+    h = c = np.zeros((2, batch, CELLS))
+    states, kept, way = np.empty((steps, 2, batch, CELLS)), [], np.arange(2)[:, None]
+    for t in range(steps):
+        z = table[way, read[t]] + h @ u
+        gates, cand = np.clip(0.25 * z[..., : 3 * CELLS] + 0.5, 0, 1), np.clip(z[..., 3 * CELLS :], -1, 1)
+        i, f, o = gates[..., :CELLS], gates[..., CELLS : 2 * CELLS], gates[..., 2 * CELLS :]
         new = f * c + i * cand
         squashed = np.clip(new, -1, 1)
-        kept.append((t, h, c, z, i, f, o, cand, new, squashed))
+        kept.append((h, c, z, i, f, o, cand, new, squashed))
         c, h = new, o * squashed
         states[t] = h
-    return states, kept
-
-
-def _backward(p: dict, grad: dict, way: str, chars: np.ndarray, kept: list, states_grad: np.ndarray) -> None:
-    dh = np.zeros_like(kept[0][1])
-    dc = np.zeros_like(dh)
-    for t, h, c, z, i, f, o, cand, new, squashed in reversed(kept):
-        dh = dh + states_grad[t]
+    return states[:, 0] @ p["vf"] + states[::-1, 1] @ p["vb"] + p["bias"], (read, states, kept, u)
+
+
+def _scores_gradient(p: dict, held: tuple, by_score: np.ndarray) -> dict[str, np.ndarray]:
+    read, states, kept, u = held
+    grad = {"bias": by_score.sum(axis=(0, 1)), "vf": np.einsum("tbc,tbl->cl", states[:, 0], by_score), "vb": np.einsum("tbc,tbl->cl", states[::-1, 1], by_score)}
+    above = np.stack((by_score @ p["vf"].T, (by_score @ p["vb"].T)[::-1]), axis=1)
+    to_table, to_u = np.zeros((2, CLASSES, 4 * CELLS)), np.zeros_like(u)
+    dh = np.zeros_like(kept[0][0])
+    dc, way, back = np.zeros_like(dh), np.arange(2)[:, None], u.transpose(0, 2, 1)
+    for t in range(len(kept) - 1, -1, -1):
+        h, c, z, i, f, o, cand, new, squashed = kept[t]
+        dh = dh + above[t]
         dc = dc + dh * o * (np.abs(new) < 1)
-        dz = np.empty_like(z)
-        dz[:, :CELLS], dz[:, CELLS : 2 * CELLS], dz[:, 2 * CELLS : 3 * CELLS] = dc * cand, dc * c, dh * squashed
-        dz[:, : 3 * CELLS] *= 0.25 * (np.abs(z[:, : 3 * CELLS]) < 2)
-        dz[:, 3 * CELLS :] = dc * i * (np.abs(z[:, 3 * CELLS :]) < 1)
-        grad[f"u{way}"] += h.T @ dz
-        np.add.at(grad[f"x{way}"], chars[t], dz)
-        dh, dc = dz @ p[f"u{way}"].T, dc * f
-
-
-def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
-    most = x.max(axis=axis, keepdims=True)
-    return (most + np.log(np.exp(x - most).sum(axis=axis, keepdims=True))).squeeze(axis)
+        dz = np.concatenate((dc * cand, dc * c, dh * squashed, dc * i), axis=2)
+        dz[..., : 3 * CELLS] *= 0.25 * (np.abs(z[..., : 3 * CELLS]) < 2)
+        dz[..., 3 * CELLS :] *= np.abs(z[..., 3 * CELLS :]) < 1
+        to_u += h.transpose(0, 2, 1) @ dz
+        np.add.at(to_table, (way, read[t]), dz)
+        dh, dc = dz @ back, dc * f
+    return grad | {"xf": to_table[0], "xb": to_table[1], "uf": to_u[0], "ub": to_u[1]}
 
 
 def _crf_gradient(scores: np.ndarray, move: np.ndarray, labels: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-    """Mean negative log likelihood of the labels, and its gradients by scores (steps x batch x labels) and moves."""
+    """Mean negative log likelihood of the labels, and its gradients by scores (steps x batch x labels) and moves.
+
+    Sums over paths are carried forward and backward as shares, scaled anew at each step.
+    """
     steps, batch, _ = scores.shape
-    ahead = [scores[0]]
-    for t in range(1, steps):
-        ahead.append(_logsum(ahead[-1][:, :, None] + move[None], 1) + scores[t])
-    behind = [np.zeros((batch, LABELS))]
-    for t in range(steps - 1, 0, -1):
-        behind.append(_logsum(move[None] + (scores[t] + behind[-1])[:, None, :], 2))
-    behind.reverse()
-    whole = _logsum(ahead[-1], 1)
-    every = np.arange(batch)
-    by_score, by_move, gold = np.empty_like(scores), np.zeros_like(move), np.zeros(batch)
+    most = scores.max(axis=2, keepdims=True)
+    emit, go = np.exp(scores - most), np.exp(move - move.max())
+    ahead, behind, scale = np.empty_like(scores), np.ones_like(scores), np.empty((steps, batch, 1))
     for t in range(steps):
-        by_score[t] = np.exp(ahead[t] + behind[t] - whole[:, None])
-        gold += scores[t, every, labels[t]]
-        by_score[t, every, labels[t]] -= 1
-        if t:
-            by_move += np.exp(ahead[t - 1][:, :, None] + move[None] + (scores[t] + behind[t])[:, None, :] - whole[:, None, None]).sum(axis=0)
-            gold += move[labels[t - 1], labels[t]]
-            np.subtract.at(by_move, (labels[t - 1], labels[t]), 1)
-    return float((whole - gold).mean()), by_score / batch, by_move / batch
+        ahead[t] = (ahead[t - 1] @ go) * emit[t] if t else emit[0]
+        scale[t] = ahead[t].sum(axis=1, keepdims=True)
+        ahead[t] /= scale[t]
+    for t in range(steps - 1, 0, -1):
+        behind[t - 1] = (emit[t] * behind[t] / scale[t]) @ go.T
+    by_score = ahead * behind
+    by_move = np.einsum("tbi,tbj->ij", ahead[:-1], emit[1:] * behind[1:] / scale[1:]) * go
+    every, at = np.arange(batch)[None], np.arange(steps)[:, None]
+    gold = scores[at, every, labels].sum() + move[labels[:-1], labels[1:]].sum()
+    by_score[at, every, labels] -= 1
+    np.subtract.at(by_move, (labels[:-1], labels[1:]), 1)
+    whole = np.log(scale).sum() + most.sum() + batch * (steps - 1) * move.max()
+    return float(whole - gold) / batch, by_score / batch, by_move / batch
 
 
 def train(samples: list[tuple[np.ndarray, np.ndarray]], steps: int = STEPS, seed: int = 5) -> tuple[dict[str, np.ndarray], list[float]]:
@@ -199,16 +210,10 @@ def train(samples: list[tuple[np.ndarray, np.ndarray]], steps: int = STEPS, seed
     first, second, losses = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}, []
     for step in range(1, steps + 1):
         pick = rng.integers(0, len(chars), BATCH)
-        x, y = chars[pick].T, labels[pick].T
-        sides = {way: _forward(p, way, x) for way in "fb"}
-        scores = sides["f"][0] @ p["vf"] + sides["b"][0] @ p["vb"] + p["bias"]
-        loss, by_score, by_move = _crf_gradient(scores, p["move"], y)
+        scores, held = _scores(p, chars[pick].T)
+        loss, by_score, by_move = _crf_gradient(scores, p["move"], labels[pick].T)
         losses.append(loss)
-        grad = {k: np.zeros_like(v) for k, v in p.items()}
-        grad["move"], grad["bias"] = by_move, by_score.sum(axis=(0, 1))
-        for way, (states, kept) in sides.items():
-            grad[f"v{way}"] = np.einsum("tbc,tbl->cl", states, by_score)
-            _backward(p, grad, way, x, kept, by_score @ p[f"v{way}"].T)
+        grad = _scores_gradient(p, held, by_score) | {"move": by_move}
         rate = RATE * min(1.0, 2.0 * (1 - step / (steps + 1)))
         for k in p:
             g = np.clip(grad[k], -1, 1)
@@ -222,7 +227,7 @@ class Tagger:
     """The trained model, in the form that reads many windows side by side."""
 
     def __init__(self, p: dict[str, np.ndarray]) -> None:
-        self.ways = []
+        self.parameters, self.ways = p, []
         for way in "fb":
             # All gates as clip(z, 0, 1): the candidate, of range -1 to 1, is 2 g - 1 of such a gate.
             scale = np.repeat([0.25, 0.25, 0.25, 0.5], CELLS)
@@ -331,23 +336,21 @@ class Tagger:
 
 
 def _joined(windows: list[tuple[int, np.ndarray]], length: int) -> list[tuple[int, int, int]]:
-    """Spans of a whole text: half of an overlap is the earlier window's, half the later one's."""
+    """Spans of a whole text: half of an overlap is the earlier window's, half the later one's. A beginning ends a span before it."""
     half, out, last = (WINDOW - STRIDE) // 2, [], None
-    pieces_ = []
     for start, path in sorted(windows, key=lambda x: x[0]):
         a = start + half if start else 0
         b = start + len(path) if start + len(path) == length else start + WINDOW - half
         own = path[a - start : b - start]
         edge = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1]))) if len(own) else np.empty(0, int)
-        for s, e in zip(edge, [*edge[1:], len(own)]):
+        for s, e in zip(edge.tolist(), [*edge[1:].tolist(), len(own)]):
             if own[s]:
-                pieces_.append((int(own[s]) - 1, int(a + s), int(a + e)))
-    for kind, s, e in pieces_:
-        if last and last[0] == kind and last[2] == s:
-            out[-1] = last = (kind, last[1], e)
-        else:
-            last = (kind, s, e)
-            out.append(last)
+                kind, begins = (int(own[s]) - 1) // 2, own[s] & 1
+                if last and last[0] == kind and last[2] == a + s and not begins:
+                    out[-1] = last = (kind, last[1], a + e)
+                else:
+                    last = (kind, a + s, a + e)
+                    out.append(last)
     return out
 
 
@@ -374,42 +377,70 @@ def _number(rng: np.random.Generator, n: int) -> str:
 def _made(kind: str, rng: np.random.Generator) -> str:
     word = lambda: "".join(c for c in rng.choice(_SYLLABLES, rng.integers(1, 4)) if c.isascii()) or "mail"
     if kind == "email":
-        at, dot = rng.choice(["@", "@", "@", " at ", "(at)", " [at] "]), "."
-        return f"{word()}{rng.choice(['', '.', '_'])}{rng.choice(['', str(rng.integers(1, 99))])}{at}{word()}{dot}{rng.choice(['com', 'org', 'net', 'example.com', 'de'])}"
+        at, dot = (str(rng.choice(x)) for x in (["@", "@", " at ", "(at)", " [at] ", " (at) ", "[at]", " AT "], [".", ".", ".", " dot ", "(dot)", " [dot] ", "[dot]"]))
+        if at == "@":
+            dot = "."
+        host = [word() + str(rng.choice(["", str(rng.integers(1, 99))])), *str(rng.choice(["com", "org", "net", "example com", "de", "co uk"])).split()]
+        return f"{word()}{rng.choice(['', '.', '_'])}{rng.choice(['', str(rng.integers(1, 99))])}{at}{dot.join(host)}"
     if kind == "ip":
-        return ".".join(str(rng.integers(0, 256)) for _ in range(4))
+        return str(rng.choice([".", ".", "[.]", " . ", "(.)"])).join(str(rng.integers(0, 256)) for _ in range(4))
     if kind == "card":
         body = _number(rng, 15)
         body += next(d for d in "0123456789" if luhn(body + d))
-        gap = str(rng.choice(["", "", " ", "-", ".", "/"]))
+        gap = str(rng.choice(["", "", " ", "-", ".", "/", "  "]))
         return gap.join(body[k : k + 4] for k in range(0, 16, 4))
     a, b, c = _number(rng, 3), _number(rng, 3), _number(rng, 4)
-    return str(rng.choice([f"+1 ({a}) {b}-{c}", f"+{rng.integers(1, 99)} {a} {b} {c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"+1-{a}-{b}-{c}"]))
+    return str(rng.choice([f"+1 ({a}) {b}-{c}", f"+{rng.integers(1, 99)} {a} {b} {c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"+1-{a}-{b}-{c}", f"{a}.{b}.{c}", f"00{rng.integers(1, 99)} {a} {b}{c}", f"0{a}/{b}{c}"]))
+
+
+def _nothing(rng: np.random.Generator) -> str:
+    """A number, or something like one, that is no personal data."""
+    n = lambda a, b: int(rng.integers(a, b))
+    hexed = "".join(rng.choice(list("0123456789abcdef"), n(12, 48)))
+    return str(rng.choice([_number(rng, n(1, 9)), _number(rng, n(20, 40)), hexed, f"{n(0, 99)}.{n(0, 9999)}", f"{n(0, 20)}.{n(0, 20)}.{n(0, 20)}", f"20{n(10, 30)}-0{n(1, 9)}-{n(10, 29)}", f"{n(0, 24)}:{n(10, 60)}:{n(10, 60)}", f"{n(1, 9)},{_number(rng, 3)},{_number(rng, 3)}", f"{n(10, 90)}/{n(10, 90)}", _number(rng, n(20, 30)) + " " + _number(rng, n(20, 30)), "at home.", f"key={hexed}"]))
 
 
 def made_up(n: int, seed: int = 11) -> list[tuple[str, list[tuple[int, int, int]]]]:
-    """Made-up texts with the spans in them; two in five hold none, or numbers that are nothing."""
+    """Made-up texts with the spans in them; two in five hold none, and most of these numbers that are nothing."""
     rng, out = np.random.default_rng(seed), []
     for _ in range(n):
         text, spans = _prose(rng), []
         if rng.random() < 0.6:
-            kind = int(rng.integers(0, len(KINDS)))
-            found = _made(KINDS[kind], rng)
-            spans.append((kind, len(text), len(text) + len(found)))
-            text += found + " "
-        elif rng.random() < 0.5:
-            text += _number(rng, int(rng.integers(1, 9))) + str(rng.choice([" ", ". ", "-", ":"]))
+            kind, made = int(rng.integers(0, len(KINDS))), ""
+            for k in range(1 + int(rng.random() < 0.3) + int(rng.random() < 0.1)):
+                text += str(rng.choice([" ", " ", ", ", "; ", "\n"])) if k else ""
+                made = made if k and rng.random() < 0.5 else _made(KINDS[kind], rng)
+                spans.append((kind, len(text), len(text) + len(made)))
+                text += made
+            text += str(rng.choice([" ", " ", ". ", "! ", "### ", ") "]))
+        elif rng.random() < 0.8:
+            text += _nothing(rng) + str(rng.choice([" ", ". ", "-", ":", "$$$ "]))
         out.append((text + _prose(rng) + _prose(rng), spans))
     return out
 
 
+#: Runs of signs that numbers are written in; those without a span around them are the numbers that are nothing.
+_NUMBERS = re.compile(r"[0-9a-f+(][0-9a-f().\x20/+-]{3,}[0-9a-f]")
+
+
 def cut(text: str, spans: list[tuple[int, int, int]], seed: int = 0) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Pieces of LENGTH characters around each span, and OTHERS anywhere, with their labels."""
-    labels = np.zeros(len(text), np.uint8)
+    """Pieces of LENGTH characters: around OWN of the spans and NUMBERS of the other numbers, and OTHERS anywhere.
+
+    All spans are labelled in every piece. Numbers in which the plain check finds a value, as in a card written twice, are
+    neither span nor nothing: pieces with one are left out.
+    """
+    labels, unsure = np.zeros(len(text), np.uint8), np.zeros(len(text), bool)
     for kind, a, b in reversed(spans):
-        labels[a:b] = kind + 1
+        labels[a], labels[a + 1 : b] = 2 * kind + 1, 2 * kind + 2
     chars, out, rng = classes(text), [], np.random.default_rng(seed)
-    for at in [max(0, (a + b) // 2 - int(rng.integers(20, 52))) for _, a, b in spans] + rng.integers(0, max(1, len(text) - LENGTH), OTHERS).tolist():
+    numbers = [m.span() for m in _NUMBERS.finditer(text) if not labels[m.start() : m.end()].any()]
+    for a, b in numbers:
+        unsure[a:b] = any(values(k, text, a, b) for k in (2, 3))
+    pick = lambda found, n: [found[i] for i in sorted(rng.permutation(len(found))[:n])]
+    around = [(a, b) for _, a, b in pick(spans, OWN)] + pick(numbers, NUMBERS)
+    for at in [max(0, (a + b) // 2 - int(rng.integers(20, 52))) for a, b in around] + rng.integers(0, max(1, len(text) - LENGTH), OTHERS).tolist():
+        if unsure[at : at + LENGTH].any():
+            continue
         x, y = np.full(LENGTH, 32, np.uint8), np.zeros(LENGTH, np.uint8)
         own = chars[at : at + LENGTH]
         x[: len(own)], y[: len(own)] = own, labels[at : at + LENGTH]
@@ -417,59 +448,100 @@ def cut(text: str, spans: list[tuple[int, int, int]], seed: int = 0) -> list[tup
     return out
 
 
+#: Made-up texts to learn from.
+MADE = 3000
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_docs: int = FIT_DOCS) -> Tagger:
-    """A model of the made-up spans and of the base spans in a sample of documents, chosen by a hash of their ids.
+    """A model of the made-up spans and of the base spans in about fit_docs documents, chosen by a hash of id and text.
 
-    The sample has about fit_docs documents with signs of personal data and as many without. Only pieces of LENGTH
-    characters come to the driver.
+    Rows alike in both count as one. Only pieces of LENGTH characters come to the driver.
     """
-    signs = F.col("text").rlike(r"@|[0-9]{4}|[0-9]\.[0-9]")
-    rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).alias("id"), F.col(f"`{text_col}`").alias("text")).filter("text is not null").withColumn("signs", signs)
-    sizes = dict(rows.groupBy("signs").count().collect())
+    rows = docs.select(F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{text_col}`").alias("text"))
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(c.tobytes(), y.tobytes()) for i, t in zip(batch.column(0).to_pylist(), text_strings(batch.column(1))) for c, y in cut(t, base_spans(t)[:40], zlib.crc32(i.encode()))]
+            found = [(c.tobytes(), y.tobytes()) for t in text_strings(batch.column(0)) for c, y in cut(t, base_spans(t), zlib.crc32(t.encode()))]
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in range(2)], ["chars", "labels"])
 
-    share = F.when(F.col("signs"), F.lit(fit_docs / max(1, sizes.get(True, 0)))).otherwise(F.lit(fit_docs / max(1, sizes.get(False, 0))))
-    chosen = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < (1 << 20) * share).select("id", "text")
+    share = min(1.0, fit_docs / max(1, docs.count()))
+    chosen = rows.filter("text is not null").filter(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) < (1 << 20) * share).distinct().select("text")
     own = [(np.frombuffer(c, np.uint8), np.frombuffer(y, np.uint8)) for c, y in sorted((bytes(r[0]), bytes(r[1])) for r in chosen.mapInArrow(sample, "chars binary, labels binary").collect())]
-    made = [x for k, (text, spans) in enumerate(made_up(2500)) for x in cut(text, spans, k)]
-    return Tagger(train(made + own)[0])
+    made = [x for k, (text, spans) in enumerate(made_up(MADE)) for x in cut(text, spans, k)]
+    # Made-up pieces and documents' pieces with a span, and as many of the documents' others again.
+    held = [x for x in own if x[1].any()]
+    rest = [x for x in own if not x[1].any()][: 2 * len(made)]
+    return Tagger(train(made + held + rest)[0])
 
 
 # --- the operator --------------------------------------------------------------------------------------------------
 
-#: What a span that the model adds must hold; the rest of it is left out.
+#: How a value that the model adds is written; what else it tags is trimmed.
+_AT, _DOT = r"(?:@|\x20?[(\[]at[)\]]\x20?|\x20at\x20|\x20AT\x20)", r"(?:\.|\x20?[(\[]dot[)\]]\x20?|\x20dot\x20)"
 CORES = (
-    re.compile(r"[\w.%+-]+(?:@| at |\(at\)| ?\[at\] ?)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
-    re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])"),
-    re.compile(r"[0-9](?:[\x20./-]?[0-9])+"),
-    re.compile(r"\+?[0-9(][0-9().\x20/-]*[0-9]"),
+    re.compile(rf"[\w.%+-]+{_AT}[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+"),
+    re.compile(r"(?<![0-9.])[0-9]{1,3}(?:(?:\x20?\.\x20?|\[\.\]|\(\.\))[0-9]{1,3}){3}(?![0-9])"),
+    re.compile(r"(?<![0-9a-fA-F])[0-9](?:[\x20./-]{0,2}[0-9])+(?![0-9a-fA-F])"),
+    re.compile(r"(?<![0-9a-fA-F])[+(]?[0-9][0-9().\x20/-]*[0-9](?![0-9a-fA-F])"),
 )
+#: Usual numbers of digits of cards, the most usual first.
+CARD_DIGITS = (16, 15, 19, 13, 14, 17, 18)
+_GROUP = re.compile(r"[0-9]+")
+_TOKEN = re.compile(r"[^\x20]+")
+#: Characters on either side of a stretch in which its values may begin or end.
+MARGIN = 24
 
 
 def plausible(kind: int, found: str) -> bool:
-    """The plain check of a span that the model adds."""
+    """The plain check of a value that the model adds."""
     name, number = KINDS[kind], digits(found)
     if name == "ip":
-        return valid("ip", found)
+        return all(int(x) <= 255 for x in _GROUP.findall(found))
     if name == "card":
         return 13 <= len(number) <= 19 and luhn(number)
-    return name != "phone" or 9 <= len(number) <= 15 and bool(re.search(r"[-()\x20+/]", found))
+    return name != "phone" or 9 <= len(number) <= 15 and bool(re.search(r"[-()\x20+/.]", found))
+
+
+def values(kind: int, text: str, a: int, b: int) -> list[tuple[int, int]]:
+    """Places of the values of a kind in text[a:b], each checked alone.
+
+    A run of digits is a card as a whole, or its groups of digits are, from left to right, the most usual number of digits
+    first. A phone number that is too long as a whole begins anew at a space where enough digits are behind it.
+    """
+    out = []
+    for m in CORES[kind].finditer(text, a, b):
+        start, end = m.span()
+        if plausible(kind, text[start:end]):
+            out.append((start, end))
+        elif KINDS[kind] in ("card", "phone"):
+            groups = [g.span() for g in (_GROUP if KINDS[kind] == "card" else _TOKEN).finditer(text, start, end)][:MARGIN]
+            k = 0
+            while k < len(groups):
+                ends = [e for _, e in groups[k:] if plausible(kind, text[groups[k][0] : e])]
+                if KINDS[kind] == "card":
+                    ends.sort(key=lambda e, s=groups[k][0]: CARD_DIGITS.index(len(digits(text[s:e]))))
+                if ends:
+                    out.append((groups[k][0], ends[0]))
+                    k = next((j for j in range(k, len(groups)) if groups[j][0] >= ends[0]), len(groups))
+                else:
+                    k += 1
+    return out
 
 
 def all_spans(texts: list[str], tagger: Tagger) -> list[tuple[list, list]]:
-    """For each text its base spans, and all spans by kind, then start."""
+    """For each text its base spans, and all spans by kind, then start.
+
+    The values that the model adds lie for the most part in a stretch of its path; of values that overlap, the first stays.
+    """
     out = []
     for text, tagged in zip(texts, tagger.tag(texts)):
-        base = base_spans(text)
-        added = []
+        base, added = base_spans(text), []
         for kind, a, b in tagged:
-            core = max(CORES[kind].finditer(text, a, b), key=lambda m: m.end() - m.start(), default=None)
-            if core and all(core.end() <= s or e <= core.start() for _, s, e in base) and plausible(kind, core.group()):
-                added.append((kind, *core.span()))
+            if any(k == kind and s <= a and b <= e for k, s, e in base):
+                continue
+            for s, e in values(kind, text, max(0, a - MARGIN), b + MARGIN):
+                if 2 * (min(b, e) - max(a, s)) > e - s and all(e <= x or y <= s for _, x, y in base + added):
+                    added.append((kind, s, e))
         out.append((base, sorted(base + added)))
     return out
 
@@ -478,14 +550,15 @@ def _written(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
 
 
-def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: Callable[[DataFrame], Tagger] = fit) -> DataFrame:
-    """doc_id, n_<kind> of base spans, base_sha256 of these, spans (base and added): a row for each row of docs.
+def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: Callable[[DataFrame], Tagger] | Tagger = fit) -> DataFrame:
+    """doc_id, n_<kind> of base spans, base_sha256 of these, spans (base and added), private: a row for each row of docs.
 
-    Spans are kind:start:end by kind as listed, then start, in code points with the end exclusive. Null counts as empty,
-    and an empty text has none. Repeated rows each give a row. An empty table gives none.
+    Spans are kind:start:end by kind as listed, then start, in code points with the end exclusive. private says whether there
+    are any. Null counts as empty, and an empty text has none. Repeated rows each give a row. An empty table gives none.
+    model trains a Tagger on docs, or is one, as load() gives it.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    held = docs.sparkSession.sparkContext.broadcast(model(rows))
+    held = docs.sparkSession.sparkContext.broadcast(model if isinstance(model, Tagger) else model(rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -493,6 +566,20 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 found = all_spans(text_strings(piece.column(1)), held.value)
                 counts = [pa.array([sum(s[0] == k for s in base) for base, _ in found], pa.int64()) for k in range(len(KINDS))]
                 sha = pa.array([hashlib.sha256(_written(base).encode()).hexdigest() for base, _ in found], pa.string())
-                yield pa.RecordBatch.from_arrays([piece.column(0), *counts, sha, pa.array([_written(s) for _, s in found], pa.string())], ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
+                spans, private = pa.array([_written(s) for _, s in found], pa.string()), pa.array([bool(s) for _, s in found])
+                yield pa.RecordBatch.from_arrays([piece.column(0), *counts, sha, spans, private], ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "private"])
+
+    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, {', '.join(f'n_{k} long' for k in KINDS)}, base_sha256 string, spans string, private boolean")
+
+
+def save(tagger: Tagger, uri: str) -> None:
+    """Writes the model's parameters to a file, for scans that needn't train again."""
+    held = io.BytesIO()
+    np.savez(held, **tagger.parameters)
+    with create(uri) as file:
+        file.write(held.getvalue())
+
 
-    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, {', '.join(f'n_{k} long' for k in KINDS)}, base_sha256 string, spans string")
+def load(uri: str) -> Tagger:
+    with open_input(uri) as file:
+        return Tagger(dict(np.load(io.BytesIO(file.read()))))
