@@ -145,7 +145,7 @@ def test_values_side_by_side_are_each_found(tagger):
     card, texts = "4465758382889437", {}
     texts[f"domiez ciónógaí {card} {card} doí coez"] = ["card:16:32", "card:33:49"]
     texts["call them (555) 123-4567 (555) 987-6543 in the morning"] = ["phone:10:24", "phone:25:39"]
-    texts["write to mara.tide (at) well (dot) org or come by"] = ["email:9:39"]
+    texts["write to mara.tide (at) well (dot) org or come by"] = ["email:9:38"]
     for text, want in texts.items():
         base, spans = pii.all_spans([text], tagger)[0]
         assert base == [] and pii._written(spans).split(",") == want, text

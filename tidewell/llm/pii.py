@@ -35,7 +35,7 @@ WINDOW, STRIDE = 512, 448
 CELLS, SIDE = 12, 2048
 #: Documents of the training sample, about: its documented bound.
 FIT_DOCS = 2400
-STEPS, BATCH, LENGTH, RATE = 750, 64, 72, 0.02
+STEPS, BATCH, LENGTH, RATE = 900, 64, 72, 0.02
 #: Pieces that each document of the sample gives, at most: around spans, around other numbers, and anywhere.
 OWN, NUMBERS, OTHERS = 8, 3, 2
 
@@ -407,7 +407,7 @@ def made_up(n: int, seed: int = 11) -> list[tuple[str, list[tuple[int, int, int]
         text, spans = _prose(rng), []
         if rng.random() < 0.6:
             kind, made = int(rng.integers(0, len(KINDS))), ""
-            for k in range(1 + int(rng.random() < 0.3) + int(rng.random() < 0.1)):
+            for k in range(1 + int(rng.random() < 0.4) + int(rng.random() < 0.1)):
                 text += str(rng.choice([" ", " ", ", ", "; ", "\n"])) if k else ""
                 made = made if k and rng.random() < 0.5 else _made(KINDS[kind], rng)
                 spans.append((kind, len(text), len(text) + len(made)))
