@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from tidewell.llm.secrets import RULES
 
+#: Patterns with the same matches, without look-behind and possessive counts, which the SQL engine doesn't have.
+_PLAIN = {"pem": "-----BEGIN (?:[A-Z0-9 ]* )?PRIVATE KEY-----", "urlauth": r"[a-z][a-z0-9+.-]+://[^\s/:@]+:[^\s/:@]{3,}@"}
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -52,7 +55,7 @@ from f
 
 def _matches(place: int) -> str:
     rule = RULES[place]
-    pattern = rule.pattern.replace("'", "''")
+    pattern = _PLAIN.get(rule.kind, rule.pattern).replace("'", "''")
     return f"""
     select doc_id, {place} as rule, '{rule.kind}' as kind, {rule.base} as base, {rule.least} as least, unnest(range(len(whole))) as k,
         unnest(whole) as whole, unnest(own) as own, unnest(list_slice(gaps, 1, len(whole))) as gap
