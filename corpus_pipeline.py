@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewell.llm import decontamination, language, mixing, simhash, tokens
 from tidewell.llm.common import written
@@ -18,12 +19,12 @@ TOKENIZER = "word_bpe_49k.json"
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages that the labelled rows teach; texts without letters, or of no one language, go."""
+    """Documents in one of the labelled rows' languages; texts without letters, in foreign scripts or of no one language go."""
     return language.known_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that with the smallest id."""
+    """One document of each group of near-duplicates: that with the smallest id. Groups are op2's: fingerprints 3 bits apart."""
     return simhash.one_of_each(docs)
 
 
@@ -33,8 +34,9 @@ def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, a row for each time that one is taken."""
-    return mixing.mixed_documents(docs)
+    """The documents that the mix takes, a row for each time that one is taken; a source's last one ends at its target."""
+    mixed = mixing.mixed_documents(docs)
+    return mixed.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else mixed
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,8 +1,10 @@
+import datetime
 import json
 import os
 import re
 import subprocess
 import sys
+from types import SimpleNamespace
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -13,12 +15,13 @@ from tidewell import avro
 from tidewell.errors import BadInputError, ConcurrencyError, IoError, SourceError, TableFormatError, UnsupportedTypeError
 from tidewell.operators.delta import open_delta, read_delta, write_delta
 from tidewell.operators.iceberg import HINT, current_version, open_iceberg, read_iceberg, with_retries, write_iceberg
+from tidewell.operators import layout
 from tidewell.operators.layout import write_layout
 from tidewell.plans.cli import parser, source_of
 from tidewell.plans.fixture import t1
 from tidewell.plans.loader import load
-from tidewell.sources.rowsets import JdbcSource, ParquetSource, SqlSource, arrow_batches, jdbc_options, spark_dialect
-from tidewell.storage import Store, check_url, env_options, hadoop_settings, table_name
+from tidewell.sources.rowsets import JdbcSource, ParquetSource, SqlSource, arrow_batches, described, jdbc_options, spark_dialect, strict_types
+from tidewell.storage import Store, check_url, env_options, hadoop_settings, scratch_url, table_name
 
 
 def files(spark, url):
@@ -30,21 +33,22 @@ def files(spark, url):
 
 @pytest.mark.parametrize(("rows", "sizes"), [(0, [0]), (100, [100]), (200, [100, 100]), (250, [100, 100, 50])])
 def test_exact_rollover(spark, url, rows, sizes):
-    found = write_layout(spark.range(0, rows, 1, 1), Store(spark, url), "", "part-{number:05d}-{load}.parquet", "exact", 100, 40)
+    found = write_layout(spark.range(0, rows, 1, 1), Store(spark, url), "", "exact", 100, 40)
     assert [f.rows for f in found] == sizes
     assert all(n <= 40 for f in found for n in f.groups)
     assert files(spark, url) == [f.path for f in found]
 
 
 def test_parallel_layout_caps_files(spark, url):
-    found = write_layout(spark.range(0, 1000, 1, 4), Store(spark, url), "data", "p-{number:05d}-{load}.parquet", "parallel", 100)
+    found = write_layout(spark.range(0, 1000, 1, 4), Store(spark, url), "data", "parallel", 100)
     assert sum(f.rows for f in found) == 1000
     assert max(f.rows for f in found) <= 100
     assert len(found) == 12
 
 
-def test_many_footers_are_read_by_a_job(spark, url):
-    found = write_layout(spark.range(0, 80, 1, 40), Store(spark, url), "", "p-{number:05d}-{load}.parquet")
+def test_many_and_long_footers(spark, url, monkeypatch):
+    monkeypatch.setattr(layout, "TAIL_BYTES", 16)
+    found = write_layout(spark.range(0, 80, 1, 40), Store(spark, url), "")
     assert [f.columns["id"]["least"] for f in found] == list(range(0, 80, 2))
 
 
@@ -63,7 +67,7 @@ def test_delta_create(spark, url):
     names = files(spark, url)
     assert names[:2] == ["_delta_log/00000000000000000000.json", "_delta_log/00000000000000000001.json"]
     assert len(names) == 3
-    assert re.fullmatch(r"part-00000-[0-9a-f-]{36}-c000\.snappy\.parquet", names[2])
+    assert re.fullmatch(r"load-[0-9a-f-]{36}/part-00000-[0-9a-f-]{36}-c000\.snappy\.parquet", names[2])
     table = open_delta(spark, url)
     assert table.version == 1
     assert table.meta["name"] == "table"
@@ -126,7 +130,7 @@ def test_delta_keeps_the_old_table_when_rows_fail(spark, url):
     with pytest.raises(UnsupportedTypeError):
         write_delta(spark.sql("select null as a"), url, overwrite=True)
     assert read_delta(spark, url).count() == 3
-    assert not [f for f in files(spark, url) if "_staging" in f]
+    assert len({f.split("/")[0] for f in files(spark, url) if f.startswith("load-")}) == 1
 
 
 def test_delta_nested_and_empty(spark, url):
@@ -160,7 +164,7 @@ def test_iceberg_life(spark, url):
     write_iceberg(rowset(spark), url, layout="exact")
     first = files(spark, url)
     assert len(first) == 5
-    assert [f for f in first if re.fullmatch(r"data/part-00000-[0-9a-f-]{36}\.parquet", f)]
+    assert [f for f in first if re.fullmatch(r"data/load-[0-9a-f-]{36}/part-00000-[0-9a-f-]{36}-c000\.parquet", f)]
     assert "metadata/v0.metadata.json" in first
     with pytest.raises(IoError, match="pass overwrite"):
         write_iceberg(rowset(spark), url)
@@ -327,6 +331,118 @@ def test_urls_and_environment(spark):
     assert hadoop_settings(env_options("s3a://b", env))["fs.s3a.endpoint"] == "http://h"
 
 
+def test_keys_of_all_schemes():
+    google = env_options("gs://b/t", {"GOOGLE_APPLICATION_CREDENTIALS": "/key.json"})
+    assert hadoop_settings(google) == {"fs.gs.auth.type": "SERVICE_ACCOUNT_JSON_KEYFILE", "fs.gs.auth.service.account.json.keyfile": "/key.json"}
+    azure = {"AZURE_STORAGE_ACCOUNT_NAME": "acc", "AZURE_STORAGE_ACCOUNT_KEY": "k"}
+    assert hadoop_settings(env_options("abfss://c@acc.dfs.core.windows.net/t", azure)) == {"fs.azure.account.key.acc.dfs.core.windows.net": "k"}
+    oauth = {"AZURE_STORAGE_ACCOUNT_NAME": "acc", "AZURE_CLIENT_ID": "i", "AZURE_CLIENT_SECRET": "s", "AZURE_TENANT_ID": "t"}
+    found = hadoop_settings(env_options("az://c/t", oauth))
+    assert found["fs.azure.account.auth.type.acc.dfs.core.windows.net"] == "OAuth" and len(found) == 5
+    assert hadoop_settings(env_options("az://c/t", {"AZURE_STORAGE_ACCOUNT_NAME": "a", "AZURE_STORAGE_SAS_TOKEN": "?x"}))["fs.azure.sas.fixed.token.a.dfs.core.windows.net"] == "x"
+
+
+@pytest.mark.parametrize("table_format", ["delta", "iceberg"])
+def test_targets_that_only_hadoop_knows(spark, tmp_path, table_format):
+    (tmp_path / "in").mkdir()
+    spark._jsc.hadoopConfiguration().set(f"fs.viewfs.mounttable.{table_format}.link./lake", f"file://{tmp_path}/in")
+    target = f"viewfs://{table_format}/lake/table"
+    done = load(spark, SqlSource("select id, cast(id as string) as name from range(100)"), target, table_format)
+    assert done.rows == 100
+    rows = read_delta(spark, target) if table_format == "delta" else read_iceberg(spark, target)
+    assert rows.agg(F.sum("id")).head()[0] == 4950
+    rows.write.parquet(f"viewfs://{table_format}/lake/plain")
+    assert ParquetSource(f"viewfs://{table_format}/lake/plain").open(spark).rows.count() == 100
+
+
+def test_an_unclear_commit_keeps_its_files(spark, url, monkeypatch):
+    write_iceberg(spark.range(3), url)
+    plain = Store.create
+
+    def lost(self, name, data):
+        done = plain(self, name, data)
+        if name.endswith(("v1.metadata.json", "1.json")):
+            raise OSError("the answer was lost")
+        return done
+
+    def full(self, name, data):
+        if name.endswith("1.json"):
+            raise OSError("no space")
+        return plain(self, name, data)
+
+    monkeypatch.setattr(Store, "create", lost)
+    write_iceberg(spark.range(5), url, append=True)
+    assert read_iceberg(spark, url).count() == 8
+    with pytest.raises(OSError):
+        write_delta(spark.range(4), url + "-delta")
+    assert read_delta(spark, url + "-delta").count() == 4
+    monkeypatch.setattr(Store, "create", full)
+    with pytest.raises(OSError):
+        write_delta(spark.range(4), url + "-full")
+    assert files(spark, url + "-full") == []
+
+
+def test_views_of_the_session_come_back(spark, tmp_path):
+    spark.range(3).createOrReplaceTempView("own_view")
+    rows = SqlSource("select count(*) as n from own_view join new_view using (id)", {"own_view": spark.range(9), "new_view": spark.range(7)}).open(spark).rows
+    assert rows.head()[0] == 7
+    assert spark.table("own_view").count() == 3 and not spark.catalog.tableExists("new_view")
+    spark.catalog.dropTempView("own_view")
+
+
+def test_a_shared_folder_is_needed_on_a_cluster(spark, monkeypatch):
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: default)
+    context = SimpleNamespace(getConf=lambda: SimpleNamespace(get=lambda key: None), master="spark://host:7077")
+    session = SimpleNamespace(conf=spark.conf, sparkContext=context)
+    with pytest.raises(BadInputError, match="checkpoint"):
+        scratch_url(session, "x")
+    context.master = "local[2]"
+    assert scratch_url(session, "x").startswith("file:///")
+
+
+@pytest.fixture(scope="module")
+def database(spark):
+    """An in-memory database with the fixture's first columns; its driver comes with Spark."""
+    link = "jdbc:derby:memory:tidewell;create=true"
+    jvm = spark._jvm
+    connection = jvm.java.sql.DriverManager.getConnection(link, jvm.java.util.Properties())
+    run = connection.createStatement().execute
+    run("create table t1 (id bigint primary key, c2 smallint, c4 int, r real, d double, n decimal(8,3), t timestamp, day date, s varchar(20), b boolean, x varchar(4) for bit data)")
+    for k in range(1, 41):
+        run(f"insert into t1 values ({k}, {k}, {k}, {k}.5, {k}.5, {k}.001, timestamp('2024-01-01 00:00:{k:02d}'), date('2024-02-01'), 'row {k}', {str(k % 2 == 1).lower()}, X'000000{k:02x}')")
+    run("insert into t1 (id) values (41)")
+    connection.close()
+    return link
+
+
+@pytest.mark.parametrize("table_format", ["delta", "iceberg"])
+def test_a_database_is_loaded(spark, database, url, table_format):
+    source = JdbcSource(database, "select * from t1", 10, "ID", 4)
+    query = "select cast(c4 as int) as C4, id as ID, n as N, t as T, day as DAY, s as S, b as B, x as X from t1"
+    rows = source.open(spark).rows
+    assert rows.rdd.getNumPartitions() == 4 and rows.count() == 41
+    done = load(spark, JdbcSource(database, query, 10, "ID", 3), url, table_format)
+    got = {r.ID: r for r in (read_delta(spark, url) if table_format == "delta" else read_iceberg(spark, url)).collect()}
+    assert done.rows == len(got) == 41 and got[41].S is None
+    assert (got[7].C4, str(got[7].N), got[7].S, got[7].B, bytes(got[7].X)) == (7, "7.001", "row 7", True, b"\0\0\0\x07")
+    assert got[7]["T"] == datetime.datetime(2024, 1, 1, 0, 0, 7)
+    with pytest.raises(SourceError):
+        JdbcSource(database, "select nothing from nowhere").open(spark)
+
+
+def test_a_database_describes_its_columns(spark, database):
+    found = described(spark, {"url": database, "query": "select id, n, s from t1"})
+    assert found == [("ID", "BIGINT", 19, 0), ("N", "DECIMAL", 8, 3), ("S", "VARCHAR", 20, 0)]
+
+
+def test_types_of_a_database_are_strict():
+    schema = strict_types([("a", "int4", 10, 0), ("b", "numeric", 8, 3), ("c", "char", 1, 0), ("d", "timestamptz", 35, 6)])
+    assert schema.simpleString() == "struct<a:int,b:decimal(8,3),c:tinyint,d:timestamp>"
+    for kind in (("u", "uuid", 0, 0), ("j", "json", 0, 0), ("n", "numeric", 0, 0), ("n", "numeric", 39, 0), ("t", "interval", 0, 0), ("a", "_int4", 10, 0)):
+        with pytest.raises(UnsupportedTypeError):
+            strict_types([kind])
+
+
 def test_create_is_exclusive(spark, url):
     store = Store(spark, url)
     assert store.create("a/b", b"1")

@@ -1,11 +1,15 @@
-"""Data files: rows capped for each file and row group, staged by Spark, renamed, and described by their footers."""
+"""Data files: rows capped for each file and row group, written by Spark, and described by their footers.
+
+A load's files lie in a folder of their own, under Spark's names, from the first: nothing is renamed, which on object
+stores would copy all data, and until the table's log or metadata names them they are no part of it.
+"""
 
 from __future__ import annotations
 
-import math
-import pickle
+import threading
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from typing import Any
@@ -13,20 +17,19 @@ from typing import Any
 import pyarrow as pa
 import pyarrow.parquet as pq
 from py4j.protocol import Py4JJavaError
-from pyarrow import fs
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.errors import BadInputError, SourceError
-from tidewell.storage import Store
+from tidewell.storage import Entry, Store
 from tidewell.types import check_names
 
 #: Rows of a data file, and of a row group, at most.
 FILE_ROWS, GROUP_ROWS = 2 * 1024 * 1024, 122_880
 #: Row groups end by rows: this size is beyond what those take.
 GROUP_BYTES = 1 << 30
-#: Footers that the driver reads itself; more are read by a job.
-DRIVER_FOOTERS = 32
+#: Footers that are read at a time, and bytes of a file's end that are read at once.
+FOOTERS, TAIL_BYTES = 32, 1 << 16
 
 
 @dataclass(frozen=True)
@@ -40,29 +43,38 @@ class DataFile:
     columns: dict[str, dict[str, Any]] = field(default_factory=dict)
 
 
+_lock = threading.Lock()
+_writing: dict[SparkSession, list] = {}
+
+
 @contextmanager
 def _micros(spark: SparkSession) -> Iterator[None]:
-    """Timestamps in files are microseconds; the setting is the session's, so that it is set for the write alone."""
+    """Timestamps in files are microseconds. The setting is the session's: the first of its loads sets it, the last one back."""
     key = "spark.sql.parquet.outputTimestampType"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "TIMESTAMP_MICROS")
+    with _lock:
+        held = _writing.setdefault(spark, [0, spark.conf.get(key)])
+        held[0] += 1
+        spark.conf.set(key, "TIMESTAMP_MICROS")
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        with _lock:
+            held[0] -= 1
+            if not held[0]:
+                spark.conf.set(key, _writing.pop(spark)[1])
 
 
-def _open(url: str) -> pa.NativeFile:
-    if url.startswith("file:"):
-        return fs.LocalFileSystem().open_input_file("/" + url[5:].lstrip("/"))
-    system, path = fs.FileSystem.from_uri(url)
-    return system.open_input_file(path)
+def _parquet(store: Store, file: Entry) -> pq.ParquetFile:
+    """A file's footer, read from its end; nothing else of the file is."""
+    tail = store.tail(file.path, file.size, TAIL_BYTES)
+    if len(tail) < file.size and (needed := int.from_bytes(tail[-8:-4], "little") + 8) > len(tail):
+        tail = store.tail(file.path, file.size, needed)
+    return pq.ParquetFile(pa.BufferReader(tail))
 
 
-def read_footer(url: str) -> dict[str, Any]:
+def read_footer(store: Store, file: Entry) -> dict[str, Any]:
     """Rows, rows by group and, of each top-level column of a plain type, least, most and nulls, where the footer says so."""
-    with _open(url) as file:
-        meta = pq.ParquetFile(file).metadata
+    meta = _parquet(store, file).metadata
     out: dict[str, dict[str, Any]] = {}
     for k in range(meta.num_columns):
         name = meta.schema.column(k).path
@@ -80,52 +92,38 @@ def read_footer(url: str) -> dict[str, Any]:
     return {"rows": meta.num_rows, "groups": [meta.row_group(g).num_rows for g in range(meta.num_row_groups)], "columns": out}
 
 
-def _footers(spark: SparkSession, urls: list[str]) -> list[dict[str, Any]]:
-    if len(urls) <= DRIVER_FOOTERS:
-        return [read_footer(u) for u in urls]
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw = [pickle.dumps(read_footer(u)) for u in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], ["place", "footer"])
-
-    places = spark.createDataFrame(list(enumerate(urls)), "place long, url string").repartition(math.ceil(len(urls) / DRIVER_FOOTERS))
-    found = dict(places.mapInArrow(run, "place long, footer binary").collect())
-    return [pickle.loads(bytes(found[k])) for k in range(len(urls))]
-
-
-def file_schema(url: str) -> pa.Schema:
+def file_schema(store: Store, file: Entry) -> pa.Schema:
     """The schema in a file's footer, with its columns' nullability."""
-    with _open(url) as file:
-        return pq.ParquetFile(file).schema_arrow
+    return _parquet(store, file).schema_arrow
 
 
-def write_layout(df: DataFrame, store: Store, folder: str, pattern: str, layout: str = "parallel", file_rows: int | None = FILE_ROWS, group_rows: int | None = GROUP_ROWS, compression: str = "snappy") -> list[DataFile]:
-    """Writes the rows of df to files in folder, named by pattern with the file's number and one id for the load.
+def write_layout(df: DataFrame, store: Store, folder: str, layout: str = "parallel", file_rows: int | None = FILE_ROWS, group_rows: int | None = GROUP_ROWS, compression: str = "snappy") -> list[DataFile]:
+    """Writes the rows of df to files in a new folder below folder, one for the load.
 
     Layout `parallel` lets tasks write, each file within file_rows. Layout `exact` has one task write all rows in order, in
-    files of file_rows each but the last; it suits tests and small loads. No rows give one empty file. Files appear under
-    their names when all of them are written; on failure none is left.
+    files of file_rows each but the last; it suits tests and small loads. No rows give one empty file. On failure none is
+    left. The driver reads the files' footers, FOOTERS at a time, as it writes what they say into the log.
     """
     if layout not in ("parallel", "exact"):
         raise BadInputError(f"unknown layout {layout}")
     check_names(df.schema)
-    spark, load = df.sparkSession, uuid.uuid4().hex
-    staging = f"{folder + '/' if folder else ''}_staging-{load}"
+    spark = df.sparkSession
+    own = f"{folder + '/' if folder else ''}load-{uuid.uuid4()}"
     rows = df.coalesce(1) if layout == "exact" else df
-    writer = rows.write.option("compression", compression)
+    writer = rows.write.option("compression", compression).option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
     if file_rows:
         writer = writer.option("maxRecordsPerFile", file_rows)
     if group_rows:
         writer = writer.option("parquet.block.row.count.limit", group_rows).option("parquet.block.size", GROUP_BYTES)
     try:
         with _micros(spark):
-            writer.parquet(store.full(staging))
-        staged = [e for e in store.files(staging) if e.path.endswith(".parquet")]
-        names = [f"{folder + '/' if folder else ''}{pattern.format(number=i, load=str(uuid.UUID(load)))}" for i in range(len(staged))]
-        footers = _footers(spark, [store.full(e.path) for e in staged])
-        store.move([(e.path, n) for e, n in zip(staged, names)])
-    except (PySparkException, Py4JJavaError) as e:
-        raise SourceError(str(e)) from e
-    finally:
-        store.delete(staging)
-    return [DataFile(n, e.size, f["rows"], f["groups"], f["columns"]) for n, e, f in zip(names, staged, footers)]
+            writer.parquet(store.full(own))
+        files = [e for e in store.files(own) if e.path.endswith(".parquet")]
+        with ThreadPoolExecutor(FOOTERS) as pool:
+            footers = list(pool.map(lambda e: read_footer(store, e), files))
+    except BaseException as e:
+        store.delete(own)
+        if isinstance(e, (PySparkException, Py4JJavaError)):
+            raise SourceError(str(e)) from e
+        raise
+    return [DataFile(e.path, e.size, f["rows"], f["groups"], f["columns"]) for e, f in zip(files, footers)]

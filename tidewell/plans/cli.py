@@ -35,6 +35,8 @@ def parser() -> argparse.ArgumentParser:
                 own.add_argument("-q", "--query", required=True)
             if source == "pg":
                 own.add_argument("-b", "--batch-size", type=int, default=BATCH_ROWS)
+                own.add_argument("--partition-column", help="a column by whose ranges several tasks read")
+                own.add_argument("--partitions", type=int, default=1)
             own.add_argument("--layout", choices=("parallel", "exact"), default="parallel")
     return top
 
@@ -44,7 +46,7 @@ def source_of(args: argparse.Namespace):
     if kind == "parquet":
         return ParquetSource(args.source_file)
     if kind == "pg":
-        return JdbcSource(args.connection_string, args.query, args.batch_size)
+        return JdbcSource(args.connection_string, args.query, args.batch_size, args.partition_column, args.partitions)
     return SqlSource(args.query, dict(v.split("=", 1) for v in args.view))
 
 

@@ -68,7 +68,7 @@ SQL_LOADS: dict[str, tuple[tuple[str, ...], str, str | None]] = {
     "outer_join": (("customer", "orders"), "select c.c_custkey, o.o_orderkey from customer c left join orders o on o.o_custkey = c.c_custkey and o.o_totalprice > 300000", None),
     "theta_join": (("region", "nation"), "select r.r_regionkey, n.n_nationkey from region r join nation n on n.n_regionkey < r.r_regionkey", None),
     "semi": (("customer", "orders"), "select c_custkey, c_name from customer c where exists (select 1 from orders o where o.o_custkey = c.c_custkey and o.o_totalprice > 200000)", None),
-    "anti": (("customer", "orders"), "select c_custkey, c_name from customer c where not exists (select 1 from orders o where o.o_custkey = c.c_custkey)", None),
+    "anti": (("customer", "orders"), "select c_custkey, c_name from customer c where not exists (select 1 from orders o where o.o_custkey = c.c_custkey and o.o_totalprice > 300000)", None),
     "groupby": (("lineitem",), "select l_returnflag, l_linestatus, count(*) as n, cast(sum(l_quantity) as bigint) as qty, min(l_shipdate) as first_ship, max(l_shipdate) as last_ship from lineitem group by l_returnflag, l_linestatus having count(*) > 1", None),
     "agg_filter": (("orders",), "select o_orderstatus, count(*) filter (where o_totalprice > 100000) as big, count(distinct o_custkey) as customers from orders group by o_orderstatus", None),
     "rollup": (("orders",), "select o_orderstatus, o_orderpriority, count(*) as n from orders group by rollup (o_orderstatus, o_orderpriority)", None),
@@ -79,7 +79,12 @@ SQL_LOADS: dict[str, tuple[tuple[str, ...], str, str | None]] = {
     "union": (("customer", "supplier"), "select c_nationkey as nationkey from customer union select s_nationkey as nationkey from supplier", None),
     "union_all": (("customer", "supplier"), "select c_nationkey as nationkey from customer union all select s_nationkey as nationkey from supplier", None),
     "intersect": (("customer", "supplier"), "select c_nationkey as nationkey from customer intersect select s_nationkey as nationkey from supplier", None),
-    "except": (("customer", "orders"), "select c_custkey as custkey from customer except select o_custkey as custkey from orders", None),
+    "except": (("customer", "orders"), "select c_custkey as custkey from customer except select o_custkey as custkey from orders where o_totalprice > 300000", None),
+    "intersect_all": (("customer", "supplier"), "select c_nationkey as nationkey from customer intersect all select s_nationkey as nationkey from supplier", None),
+    "except_all": (("customer", "supplier"), "select c_nationkey as nationkey from customer except all select s_nationkey as nationkey from supplier", None),
+    # As of each shipment the last order with its key: both sides in one order, and the last order before. One shuffle.
+    "asof_join": (("orders", "lineitem"), "with both as (select o_custkey as k, o_orderdate as at, 0 as later, o_orderkey, cast(null as bigint) as l_orderkey, cast(null as int) as l_linenumber from orders union all select l_suppkey, l_shipdate, 1, null, l_orderkey, l_linenumber from lineitem) select l_orderkey, l_linenumber, at as l_shipdate, last_order from (select *, last_value(o_orderkey) ignore nulls over (partition by k order by at, later, o_orderkey rows between unbounded preceding and current row) as last_order from both) where later = 1", "select l.l_orderkey, l.l_linenumber, l.l_shipdate, o.o_orderkey as last_order from lineitem l asof left join (select o_custkey, o_orderdate, max(o_orderkey) as o_orderkey from orders group by all) o on o.o_custkey = l.l_suppkey and l.l_shipdate >= o.o_orderdate"),
+    "asof_lateral": (("supplier", "customer"), "select s.s_suppkey, c.c_custkey, c.c_acctbal from supplier s left join lateral (select c_custkey, c_acctbal from customer where c_nationkey = s.s_nationkey and c_acctbal <= s.s_acctbal order by c_acctbal desc, c_custkey limit 1) c on true", None),
     "topk": (("orders",), "select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 100", None),
     "distinct": (("part",), "select distinct p_brand, p_type from part", None),
     "cte": (("orders", "customer"), "with big as (select o_custkey, count(*) as n from orders group by o_custkey) select c.c_name, b.n from big b join customer c on c.c_custkey = b.o_custkey where b.n > (select avg(n) from big)", None),
@@ -126,7 +131,7 @@ def delta_log_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     url = scratch_url(spark, "delta-log")
     load(spark, ParquetSource(_path(sf_dir, "nation")), url, layout="exact")
     files = [e.path for e in Store(spark, url).files()]
-    return spark.createDataFrame([(len([f for f in files if f.startswith("_delta_log/")]), len([f for f in files if f.startswith("part-00000-")]))], "log_files int, data_files int")
+    return spark.createDataFrame([(len([f for f in files if f.startswith("_delta_log/")]), len([f for f in files if "/part-00000-" in f]))], "log_files int, data_files int")
 
 
 def delta_add_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -289,7 +294,7 @@ def batch_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _layout_counts(spark: SparkSession, **options) -> list:
     store = Store(spark, scratch_url(spark, "layout"))
-    return write_layout(spark.range(0, 2500, 1, 1), store, "", "part-{number:05d}-{load}.parquet", "exact", **options)
+    return write_layout(spark.range(0, 2500, 1, 1), store, "", "exact", **options)
 
 
 def file_rollover_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,8 +328,8 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _flat(query: Query) -> Query:
-    """Embeddings with plain columns: the list's size and its ends."""
-    return lambda spark, sf_dir: query(spark, sf_dir).select("vec_id", "label", F.size("embedding").cast("long").alias("dims"), F.get("embedding", F.lit(0)).alias("first_value"), F.element_at("embedding", -1).alias("last_value"))
+    """Embeddings with plain columns: a row for each value of each list."""
+    return lambda spark, sf_dir: query(spark, sf_dir).select("vec_id", "label", F.posexplode_outer("embedding").alias("place", "value")).withColumn("place", F.col("place").cast("long"))
 
 
 def queries() -> dict[str, Query]:
@@ -382,7 +387,7 @@ from s
 
 
 def oracle_sql() -> dict[str, str]:
-    flat = "select vec_id, label, len(embedding)::bigint as dims, embedding[1] as first_value, embedding[-1] as last_value from embeddings"
+    flat = "select vec_id, label, unnest(range(len(embedding)))::bigint as place, unnest(embedding) as value from embeddings"
     found = {f"scan_{t}": f"select * from {t}" for t in SCALAR_TABLES} | {"scan_embeddings": flat, "load_delta_embeddings": flat}
     found |= {f"load_delta_{t}": f"select * from {t}" for t in ("lineitem", "orders", "documents")}
     found |= {"load_delta_exact": "select * from orders", "load_iceberg_customer": "select * from customer", "load_iceberg_lineitem": "select * from lineitem", "load_iceberg_exact": "select * from orders"}
