@@ -9,7 +9,7 @@ and the manifest has a Merkle root for each part of the recipes, which together
 
 Format. A pack is a row of blocks, each a zstd frame of chunks one after the other; a chunk is its ids as little-endian
 unsigned integers, of 2 bytes, or of 4 where the vocabulary has ids beyond 65,535. `chunks` (Parquet) has address, pack, block
-offset and length, place in the unpacked block and number of ids. `recipes` (Parquet) has doc_id, start, n_tokens, root, the
+offset and length, place in the unpacked block and number of ids; pack P is the file P.pack, in hex. `recipes` (Parquet) has doc_id, start, n_tokens, root, the
 addresses and the part, of PART ids each by start. `manifest` has each part's root and the width.
 """
 
@@ -38,6 +38,8 @@ from tidewell.llm.storage import create, open_input, remove
 END = 1
 #: Ids of a part of the recipes, about; parts under one node of the store's tree.
 PART, PARTS = 1 << 18, 1 << 14
+#: Documents that begin with chunks of one place are read by one task if they lie within so many ids.
+NEAR = 1 << 15
 #: The rolling hash covers this many ids; a chunk ends where MASK_BITS of its bits are zero, or at MOST ids. Chunks of 128 ids
 #: on average lie well below a usual document of some 600, so that documents share passages, not just whole texts.
 ROLL, MASK_BITS, MOST = 16, 7, 2048
@@ -187,12 +189,21 @@ def merkle(leaves: Iterable[bytes]) -> bytes:
     return tree.root()
 
 
+_PLACE = "address: binary, pack: long, block: long, length: long, place: long, n: long"
+_PLACE_KINDS = (("address", pa.binary()), ("pack", pa.int64()), ("block", pa.int64()), ("length", pa.int64()), ("place", pa.int64()), ("n", pa.int64()))
+
+
+def pack_file(folder: str, pack: int) -> str:
+    return f"{folder}/{pack:016x}.pack"
+
+
 class _PackWriter:
     """Writes chunks to blocks of packs; a chunk's place is known when its block is full."""
 
-    def __init__(self, folder: str, kind: str, width: int) -> None:
-        self.folder, self.kind, self.width, self.out = folder, kind, width, None
-        self.name, self.at, self.held, self.waiting, self.places = "", 0, [], [], []
+    def __init__(self, folder: str, width: int) -> None:
+        self.folder, self.width, self.out = folder, width, None
+        self.pack, self.at, self.held, self.waiting = 0, 0, [], []
+        self.places: list[list] = [[] for _ in _PLACE_KINDS]
         self.size, self.packer = 0, zstandard.ZstdCompressor(level=LEVEL)
 
     def add(self, address: bytes, data: bytes) -> None:
@@ -206,11 +217,14 @@ class _PackWriter:
         if not self.held:
             return
         if self.out is None:
-            self.name, self.at = f"{self.kind}-{uuid.uuid4().hex}.pack", 0
-            self.out = create(f"{self.folder}/{self.name}")
+            self.pack, self.at = uuid.uuid4().int >> 65, 0
+            self.out = create(pack_file(self.folder, self.pack))
         raw = self.packer.compress(b"".join(self.held))
         self.out.write(raw)
-        self.places += [(a, self.name, self.at, len(raw), p, n) for a, p, n in self.waiting]
+        addresses, places, sizes = zip(*self.waiting)
+        n = len(addresses)
+        for held, new in zip(self.places, (addresses, [self.pack] * n, [self.at] * n, [len(raw)] * n, places, sizes)):
+            held += new
         self.at, self.held, self.waiting, self.size = self.at + len(raw), [], [], 0
         if self.at > PACK_BYTES:
             self.close()
@@ -221,53 +235,54 @@ class _PackWriter:
             self.out.close()
         self.out = None
 
-    def taken(self) -> pa.Array:
-        """The places of chunks written since the last call."""
-        found, self.places = self.places, []
-        return found
+    def taken(self) -> list[pa.Array]:
+        """The places of chunks written since the last call, by column."""
+        found, self.places = self.places, [[] for _ in _PLACE_KINDS]
+        return [pa.array(x, kind) for x, (_, kind) in zip(found, _PLACE_KINDS)]
 
 
-_PLACE = "address: binary, pack: string, block: long, length: long, place: long, n: long"
-_PLACE_ARROW = pa.struct([("address", pa.binary()), ("pack", pa.string()), ("block", pa.int64()), ("length", pa.int64()), ("place", pa.int64()), ("n", pa.int64())])
 _ENCODED = f"doc_id long, n_tokens long, root binary, addresses array<binary>, places array<struct<{_PLACE}>>"
 
 
-def _places(found: list[tuple]) -> list[dict]:
-    names = [f.name for f in _PLACE_ARROW]
-    return [dict(zip(names, p)) for p in found]
+def _lists(sizes: list[int], values: pa.Array) -> pa.Array:
+    """A list array of consecutive values, so many in each list."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), values)
 
 
 def _encode(path: str, folder: str):
-    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.binary()), pa.list_(_PLACE_ARROW))
     names = ["doc_id", "n_tokens", "root", "addresses", "places"]
 
+    def rows(docs: pa.Array, lengths: list[int], roots: list, addresses: list, sizes: list[int], places: list[pa.Array]) -> pa.RecordBatch:
+        """The places that are known by now go with the last row."""
+        held = pa.StructArray.from_arrays(places, [n for n, _ in _PLACE_KINDS])
+        return pa.RecordBatch.from_arrays([docs, pa.array(lengths, pa.int64()), pa.array(roots, pa.binary()), _lists(sizes, pa.array(addresses, pa.binary())), _lists([0] * (len(lengths) - 1) + [len(held)], held)], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("tokens", _encoder.cache_clear)
         encoder = _encoder(path)
-        width, packs, met = encoder.width, _PackWriter(folder, "raw", encoder.width), set()
+        width, packs, met, digest = encoder.width, _PackWriter(folder, encoder.width), set(), hashlib.sha256
         for batch in batches:
             for piece in pieces(batch):
                 streams = [encoder.ids(t) for t in text_strings(piece.column(1))]
                 lengths = [len(x) // width for x in streams]
-                data = b"".join(streams)
-                ends, rows, at, k = (cuts(np.frombuffer(data, f"<u{width}"), lengths) * width).tolist(), [], 0, 0
-                last = 0
-                for doc, n in zip(piece.column(0).to_pylist(), lengths):
-                    own, last = [], last + n * width
-                    while at < last:
-                        chunk = data[at : ends[k]]
-                        own.append(address := hashlib.sha256(chunk).digest())
-                        if address not in met:
-                            met.add(address)
-                            packs.add(address, chunk)
-                        at, k = ends[k], k + 1
-                    rows.append((doc, n, merkle(own), own, _places(packs.taken()) if packs.places else []))
+                data, at = b"".join(streams), 0
+                ends = cuts(np.frombuffer(data, f"<u{width}"), lengths)
+                addresses = []
+                for end in (ends * width).tolist():
+                    chunk, at = data[at:end], end
+                    addresses.append(address := digest(chunk).digest())
+                    if address not in met:
+                        met.add(address)
+                        packs.add(address, chunk)
+                last = np.searchsorted(ends, np.cumsum(lengths)) + 1
+                sizes = np.diff(last, prepend=0).tolist()
+                roots = [addresses[b - 1] if n == 1 else merkle(addresses[b - n : b]) for b, n in zip(last.tolist(), sizes)]
                 if len(met) > 1 << 20:  # a later copy is written again, and one of both is chosen as the owner
                     met.clear()
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
+                yield rows(piece.column(0), lengths, roots, addresses, sizes, packs.taken())
         packs.close()
-        if found := packs.taken():  # no document: the places that were left
-            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((None, None, None, None, _places(found)), kinds)], names)
+        if len((found := packs.taken())[0]):  # no document: the places that were left
+            yield rows(pa.array([None], pa.int64()), [None], [None], [], [0], found)
 
     return run
 
@@ -278,15 +293,15 @@ class _Blocks:
     def __init__(self, folder: str) -> None:
         self.folder = folder
         self.kept: dict[tuple, bytes] = {}
-        self.files: dict[str, object] = {}
+        self.files: dict[int, object] = {}
         self.unpacker = zstandard.ZstdDecompressor()
 
-    def get(self, name: str, block: int, length: int) -> bytes:
-        key = (name, block)
+    def get(self, pack: int, block: int, length: int) -> bytes:
+        key = (pack, block)
         data = self.kept.pop(key, None)
         if data is None:
-            file = self.files.pop(name, None) or open_input(f"{self.folder}/{name}")
-            self.files[name] = file
+            file = self.files.pop(pack, None) or open_input(pack_file(self.folder, pack))
+            self.files[pack] = file
             if len(self.files) > KEPT_BLOCKS:
                 self.files.pop(next(iter(self.files))).close()
             file.seek(block)
@@ -305,16 +320,14 @@ def _compact(raw: str, folder: str, width: int):
     """Owned chunks, sorted by raw pack and place, to final packs; their places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packs, blocks, names = _PackWriter(folder, "pack", width), _Blocks(raw), [f.name for f in _PLACE_ARROW]
+        packs, blocks, names = _PackWriter(folder, width), _Blocks(raw), [n for n, _ in _PLACE_KINDS]
         for batch in batches:
-            for address, name, block, length, place, n in zip(*(batch.column(c).to_pylist() for c in names)):
-                packs.add(address, blocks.get(name, block, length)[place : place + n * width])
-            if found := packs.taken():
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*found), _PLACE_ARROW)], names)
+            for address, pack, block, length, place, n in zip(*(batch.column(c).to_pylist() for c in names)):
+                packs.add(address, blocks.get(pack, block, length)[place : place + n * width])
+            yield pa.RecordBatch.from_arrays(packs.taken(), names)
         packs.close()
         blocks.close()
-        if found := packs.taken():
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*found), _PLACE_ARROW)], names)
+        yield pa.RecordBatch.from_arrays(packs.taken(), names)
 
     return run
 
@@ -322,9 +335,9 @@ def _compact(raw: str, folder: str, width: int):
 def _remove(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name in batch.column(0).to_pylist():
+            for pack in batch.column(0).to_pylist():
                 try:
-                    remove(f"{folder}/{name}")
+                    remove(pack_file(folder, pack))
                 except FileNotFoundError:  # an earlier attempt of this task has done it
                     pass
             yield batch
@@ -370,7 +383,7 @@ def write_store(docs: DataFrame, tokenizer: str, folder: str, id_col: str = "doc
     owned = owned.repartition("pack").sortWithinPartitions("pack", "block", "place")
     width = width_of(Tokenizer.from_file(tokenizer))
     owned.mapInArrow(_compact(f"{folder}/raw", f"{folder}/packs", width), _PLACE.replace(":", "")).write.parquet(f"{folder}/chunks")
-    places.select("pack").distinct().mapInArrow(_remove(f"{folder}/raw"), "pack string").write.parquet(f"{folder}/removed")
+    places.select("pack").distinct().mapInArrow(_remove(f"{folder}/raw"), "pack long").write.parquet(f"{folder}/removed")
 
     order = [F.col("doc_id").asc_nulls_first(), F.col("n_tokens"), F.col("root")]
     recipes = prefix_sum(encoded.filter("root is not null").drop("places"), order, "n_tokens", "start", "tokens-recipes")
@@ -390,24 +403,24 @@ _READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 def _assemble(folder: str, width: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = _Blocks(folder)
+        blocks, digest = _Blocks(folder), hashlib.sha256
         for batch in batches:
-            rows = []
-            for doc, start, n, root, refs in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "start", "n_tokens", "root", "refs"))):
-                crc, seen, leaves, parts = 0, 0, [], []
-                for ref in refs:
-                    chunk = blocks.get(ref["pack"], ref["block"], ref["length"])[ref["place"] : ref["place"] + ref["n"] * width]
-                    leaves.append(hashlib.sha256(chunk).digest())
-                    wide = np.frombuffer(chunk, f"<u{width}").astype("<u4")
-                    crc, seen = zlib.crc32(wide, crc), seen + len(wide)
-                    if with_ids:
-                        parts.append(wide)
-                if merkle(leaves) != root or seen != n:
+            refs, crcs, streams, at = batch.column(batch.schema.get_field_index("refs")), [], [], 0
+            flat, ends = refs.flatten(), (refs.offsets.to_numpy()[1:] - refs.offsets[0].as_py()).tolist()
+            found = list(zip(*(flat.field(n).to_pylist() for n in ("pack", "block", "length", "place", "n"))))
+            docs, starts, sizes, roots = (batch.column(k).to_pylist() for k in range(4))
+            for doc, start, n, root, end in zip(docs, starts, sizes, roots, ends):
+                chunks = [blocks.get(pack, block, length)[place : place + size * width] for pack, block, length, place, size in found[at:end]]
+                at, data = end, b"".join(chunks)
+                if merkle(map(lambda c: digest(c).digest(), chunks)) != root or len(data) != n * width:
                     raise ValueError(f"document {doc} at {start}: its chunks don't have its recipe's root")
-                rows.append((doc, start, seen, crc, *([np.concatenate(parts)] if with_ids else [])))
-            if rows:
-                kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] * with_ids
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], ["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: 4 + with_ids])
+                wide = np.frombuffer(data, f"<u{width}").astype("<u4")
+                crcs.append(zlib.crc32(wide))
+                if with_ids:
+                    streams.append(wide)
+            if crcs:
+                ids = [_lists(sizes, pa.array(np.concatenate(streams), pa.int64()))] if with_ids else []
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(crcs, pa.int64()), *ids], ["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: 4 + with_ids])
         blocks.close()
 
     return run
@@ -425,11 +438,14 @@ def read_store(spark, folder: str, with_ids: bool = False) -> DataFrame:
     width = said.agg(F.max("width")).head()[0] or 2
     if not wrong.isEmpty():
         raise ValueError(f"{folder}: the recipes don't have the manifest's roots")
-    refs = recipes.select("doc_id", "start", "n_tokens", "root", F.posexplode("addresses").alias("seq", "address"))
-    refs = refs.join(chunks, "address").select("doc_id", "start", "n_tokens", "root", F.struct("seq", "pack", "block", "length", "place", "n").alias("ref"))
-    whole = refs.groupBy("start", "doc_id", "n_tokens", "root").agg(F.array_sort(F.collect_list("ref")).alias("refs"))
+    # A document's own columns go with its first chunk; start names the document, as each has an id at least.
+    refs = recipes.select("start", "doc_id", "n_tokens", "root", F.posexplode("addresses").alias("seq", "address"))
+    refs = refs.select("start", "seq", "address", *[F.when(F.col("seq") == 0, F.col(c)).alias(c) for c in ("doc_id", "n_tokens", "root")])
+    refs = refs.join(chunks, "address").select("start", "doc_id", "n_tokens", "root", F.struct("seq", "pack", "block", "length", "place", "n").alias("ref"))
+    own = [F.max(c).alias(c) for c in ("doc_id", "n_tokens", "root")]
+    whole = refs.groupBy("start").agg(*own, F.array_sort(F.collect_list("ref")).alias("refs")).select("doc_id", "start", "n_tokens", "root", "refs")
     home, area = F.col("refs")[0]["pack"], F.floor(F.col("refs")[0]["block"] / (8 << 20))
-    near = whole.withColumns({"_pack": home, "_area": area, "_block": F.col("refs")[0]["block"], "_part": F.floor(F.col("start") / PART)}).repartition("_pack", "_area", "_part").sortWithinPartitions("_pack", "_block", "start")
+    near = whole.withColumns({"_pack": home, "_area": area, "_block": F.col("refs")[0]["block"], "_part": F.floor(F.col("start") / NEAR)}).repartition("_pack", "_area", "_part").sortWithinPartitions("_pack", "_block", "start")
     return near.drop("_pack", "_area", "_block", "_part").mapInArrow(_assemble(f"{folder}/packs", width, with_ids), _READ + ", ids array<long>" * with_ids)
 
 
