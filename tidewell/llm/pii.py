@@ -35,7 +35,7 @@ WINDOW, STRIDE = 512, 448
 CELLS, SIDE = 12, 2048
 #: Documents of the training sample, about: its documented bound.
 FIT_DOCS = 2400
-STEPS, BATCH, LENGTH, RATE = 900, 64, 72, 0.02
+STEPS, BATCH, LENGTH, RATE = 500, 64, 72, 0.025
 #: Pieces that each document of the sample gives, at most: around spans, around other numbers, and anywhere.
 OWN, NUMBERS, OTHERS = 8, 3, 2
 
@@ -161,9 +161,9 @@ def _scores_gradient(p: dict, held: tuple, by_score: np.ndarray) -> dict[str, np
     read, states, kept, u = held
     grad = {"bias": by_score.sum(axis=(0, 1)), "vf": np.einsum("tbc,tbl->cl", states[:, 0], by_score), "vb": np.einsum("tbc,tbl->cl", states[::-1, 1], by_score)}
     above = np.stack((by_score @ p["vf"].T, (by_score @ p["vb"].T)[::-1]), axis=1)
-    to_table, to_u = np.zeros((2, CLASSES, 4 * CELLS)), np.zeros_like(u)
+    to_u, found = np.zeros_like(u), np.empty((len(kept), 2, states.shape[2], 4 * CELLS))
     dh = np.zeros_like(kept[0][0])
-    dc, way, back = np.zeros_like(dh), np.arange(2)[:, None], u.transpose(0, 2, 1)
+    dc, back = np.zeros_like(dh), u.transpose(0, 2, 1)
     for t in range(len(kept) - 1, -1, -1):
         h, c, z, i, f, o, cand, new, squashed = kept[t]
         dh = dh + above[t]
@@ -172,8 +172,9 @@ def _scores_gradient(p: dict, held: tuple, by_score: np.ndarray) -> dict[str, np
         dz[..., : 3 * CELLS] *= 0.25 * (np.abs(z[..., : 3 * CELLS]) < 2)
         dz[..., 3 * CELLS :] *= np.abs(z[..., 3 * CELLS :]) < 1
         to_u += h.transpose(0, 2, 1) @ dz
-        np.add.at(to_table, (way, read[t]), dz)
+        found[t] = dz
         dh, dc = dz @ back, dc * f
+    to_table = [(np.arange(CLASSES)[:, None] == read[:, k].reshape(-1)).astype(float) @ found[:, k].reshape(-1, 4 * CELLS) for k in (0, 1)]
     return grad | {"xf": to_table[0], "xb": to_table[1], "uf": to_u[0], "ub": to_u[1]}
 
 
