@@ -21,7 +21,7 @@ import json
 import re
 import uuid
 import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +53,14 @@ KEPT_WORDS, KEPT_LETTERS, KEPT_BLOCKS = 700_000, 48, 64
 _LETTER = "a-zß-öø-ÿ"
 _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^\\s{_LETTER}0-9]+")
 #: Texts of these characters only are cut by _PIECE just as by the tokenizer itself; others are left to it as a whole.
-_PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
+_PLAIN = bytes(c for c in range(256) if c in b"\t\n\r" or 0x20 <= c <= 0x7E or c >= 0xC0 and c not in (0xD7, 0xF7))
+
+
+def _plain(text: str) -> bool:
+    try:
+        return not text.encode("latin-1").translate(None, _PLAIN)
+    except UnicodeEncodeError:
+        return False
 
 
 def _byte_letters() -> dict[int, str]:
@@ -119,7 +126,7 @@ class Encoder:
 
     def ids(self, text: str) -> bytes:
         """The text's ids and END, as little-endian unsigned integers of width bytes."""
-        if not self.by_word or not _PLAIN.fullmatch(text) or "<|" in text:
+        if not self.by_word or "<|" in text or not _plain(text):
             return self._packed([*self.tokenizer.encode(text, add_special_tokens=False).ids, END])
         return b"".join(map(self.words.__getitem__, text.lower().split())) + self.end
 
@@ -134,7 +141,7 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-_GEAR = np.random.default_rng(20240229).integers(0, 1 << 63, 1 << 16, np.uint64)
+_GEAR = np.random.default_rng(20240229).integers(0, 1 << 32, 1 << 16, np.uint32)
 
 
 def cuts(ids: np.ndarray, lengths: list[int]) -> np.ndarray:
@@ -147,10 +154,10 @@ def cuts(ids: np.ndarray, lengths: list[int]) -> np.ndarray:
     ends = np.cumsum(lengths)
     gear = _GEAR[ids & 0xFFFF] ^ _GEAR[ids >> 16] if ids.dtype.itemsize > 2 else _GEAR[ids]
     pairs = gear.copy()
-    pairs[1:] += gear[:-1] << np.uint64(1)
-    total = np.cumsum(pairs, dtype=np.uint64)
+    pairs[1:] += gear[:-1] << np.uint32(1)
+    total = np.cumsum(pairs, dtype=np.uint32)
     rolled = total[ROLL:] - total[:-ROLL]
-    found = np.flatnonzero((rolled >> np.uint64(40)) & np.uint64((1 << MASK_BITS) - 1) == 0) + ROLL + 1
+    found = np.flatnonzero(rolled >> np.uint32(32 - MASK_BITS) == 0) + ROLL + 1
     own = np.searchsorted(ends, found, "left")  # a cut after the last id of a stream is its end
     found = found[found - (ends - lengths)[np.minimum(own, len(ends) - 1)] > ROLL + 1]
     found = np.union1d(found, ends)
@@ -182,11 +189,14 @@ def _above(left: bytes, right: bytes) -> bytes:
     return hashlib.sha256(b"\1" + left + right).digest()
 
 
-def merkle(leaves: Iterable[bytes]) -> bytes:
-    tree = Tree()
-    for leaf in leaves:
-        tree.add(leaf)
-    return tree.root()
+def merkle(leaves: list[bytes]) -> bytes:
+    """The root of leaves that are at hand, level by level."""
+    if not leaves:
+        return hashlib.sha256(b"").digest()
+    digest = hashlib.sha256
+    while (n := len(leaves)) > 1:
+        leaves = [digest(b"\1" + a + b).digest() for a, b in zip(leaves[::2], leaves[1::2])] + leaves[n & ~1 :]
+    return leaves[0]
 
 
 _PLACE = "address: binary, pack: long, block: long, length: long, place: long, n: long"
@@ -295,9 +305,12 @@ class _Blocks:
         self.kept: dict[tuple, bytes] = {}
         self.files: dict[int, object] = {}
         self.unpacker = zstandard.ZstdDecompressor()
+        self.last, self.data = None, b""
 
     def get(self, pack: int, block: int, length: int) -> bytes:
         key = (pack, block)
+        if key == self.last:
+            return self.data
         data = self.kept.pop(key, None)
         if data is None:
             file = self.files.pop(pack, None) or open_input(pack_file(self.folder, pack))
@@ -308,7 +321,8 @@ class _Blocks:
             data = self.unpacker.decompress(file.read(length))
             if len(self.kept) >= KEPT_BLOCKS:
                 del self.kept[next(iter(self.kept))]
-        self.kept[key] = data
+        self.kept[key] = self.data = data
+        self.last = key
         return data
 
     def close(self) -> None:
@@ -395,7 +409,7 @@ def write_store(docs: DataFrame, tokenizer: str, folder: str, id_col: str = "doc
 def store_root(manifest: DataFrame) -> str:
     """The Merkle root of the store as hex: that of the roots of PARTS parts each, which are found on the cluster."""
     groups = part_roots(manifest.withColumn("group", F.floor(F.col("part") / PARTS)), "group", "part")
-    return merkle(bytes(r[0]) for r in groups.orderBy("part").select("root").collect()).hex()
+    return merkle([bytes(r[0]) for r in groups.orderBy("part").select("root").collect()]).hex()
 
 
 _READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -412,7 +426,7 @@ def _assemble(folder: str, width: int, with_ids: bool):
             for doc, start, n, root, end in zip(docs, starts, sizes, roots, ends):
                 chunks = [blocks.get(pack, block, length)[place : place + size * width] for pack, block, length, place, size in found[at:end]]
                 at, data = end, b"".join(chunks)
-                if merkle(map(lambda c: digest(c).digest(), chunks)) != root or len(data) != n * width:
+                if merkle([digest(c).digest() for c in chunks]) != root or len(data) != n * width:
                     raise ValueError(f"document {doc} at {start}: its chunks don't have its recipe's root")
                 wide = np.frombuffer(data, f"<u{width}").astype("<u4")
                 crcs.append(zlib.crc32(wide))
