@@ -532,7 +532,8 @@ def values(kind: int, text: str, a: int, b: int) -> list[tuple[int, int]]:
 def all_spans(texts: list[str], tagger: Tagger) -> list[tuple[list, list]]:
     """For each text its base spans, and all spans by kind, then start.
 
-    The values that the model adds lie for the most part in a stretch of its path; of values that overlap, the first stays.
+    The values that the model adds lie for the most part in a stretch of its path, or are a card, by its check digit, that is
+    written right behind one that does; of values that overlap, the first stays.
     """
     out = []
     for text, tagged in zip(texts, tagger.tag(texts)):
@@ -541,7 +542,8 @@ def all_spans(texts: list[str], tagger: Tagger) -> list[tuple[list, list]]:
             if any(k == kind and s <= a and b <= e for k, s, e in base):
                 continue
             for s, e in values(kind, text, max(0, a - MARGIN), b + MARGIN):
-                if 2 * (min(b, e) - max(a, s)) > e - s and all(e <= x or y <= s for _, x, y in base + added):
+                beside = KINDS[kind] == "card" and bool(added) and added[-1][0] == kind and 0 < s - added[-1][2] <= 2
+                if (beside or 2 * (min(b, e) - max(a, s)) > e - s) and all(e <= x or y <= s for _, x, y in base + added):
                     added.append((kind, s, e))
         out.append((base, sorted(base + added)))
     return out
