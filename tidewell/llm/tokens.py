@@ -111,18 +111,19 @@ class Encoder:
         self.letters, self.words, self.signs = _byte_letters(), _Kept(self._word, KEPT_WORDS), _Kept(self._piece, KEPT_WORDS // 8)
         self.width = width_of(self.tokenizer)
         self.end = self._packed([END])
+        self.packed = [i.to_bytes(self.width, "little") for i in range(1 + max(self.tokenizer.get_vocab(with_added_tokens=True).values()))]
 
     def _packed(self, ids: list[int]) -> bytes:
         return np.array(ids, f"<u{self.width}").tobytes()
 
     def _piece(self, piece: str) -> bytes:
         shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-        return self._packed([t.id for t in self.tokenizer.model.tokenize(shown)])
+        return b"".join([self.packed[t.id] for t in self.tokenizer.model.tokenize(shown)])
 
     def _word(self, word: str) -> bytes:
         if word.isalpha():
             return self._piece(word)
-        return b"".join([self._piece(p) if p.isalpha() else self.signs[p] for p in _PIECE.findall(word)])
+        return b"".join([self.words[p] if p.isalpha() else self.signs[p] for p in _PIECE.findall(word)])
 
     def ids(self, text: str) -> bytes:
         """The text's ids and END, as little-endian unsigned integers of width bytes."""
@@ -162,9 +163,10 @@ def cuts(ids: np.ndarray, lengths: list[int]) -> np.ndarray:
     found = found[found - (ends - lengths)[np.minimum(own, len(ends) - 1)] > ROLL + 1]
     found = np.union1d(found, ends)
     gaps = np.diff(found, prepend=0)
-    if gaps.max(initial=0) <= MOST:
+    wide = gaps > MOST
+    if not wide.any():
         return found
-    return np.concatenate([np.append(np.arange(e - g + MOST, e, MOST), e) for e, g in zip(found, gaps)])
+    return np.union1d(found, np.concatenate([np.arange(e - g + MOST, e, MOST) for e, g in zip(found[wide], gaps[wide])]))
 
 
 class Tree:
@@ -336,7 +338,8 @@ def _compact(raw: str, folder: str, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packs, blocks, names = _PackWriter(folder, width), _Blocks(raw), [n for n, _ in _PLACE_KINDS]
         for batch in batches:
-            for address, pack, block, length, place, n in zip(*(batch.column(c).to_pylist() for c in names)):
+            numbers = [batch.column(c).to_numpy().tolist() for c in names[1:]]
+            for address, pack, block, length, place, n in zip(batch.column(0).to_pylist(), *numbers):
                 packs.add(address, blocks.get(pack, block, length)[place : place + n * width])
             yield pa.RecordBatch.from_arrays(packs.taken(), names)
         packs.close()
@@ -421,7 +424,7 @@ def _assemble(folder: str, width: int, with_ids: bool):
         for batch in batches:
             refs, crcs, streams, at = batch.column(batch.schema.get_field_index("refs")), [], [], 0
             flat, ends = refs.flatten(), (refs.offsets.to_numpy()[1:] - refs.offsets[0].as_py()).tolist()
-            found = list(zip(*(flat.field(n).to_pylist() for n in ("pack", "block", "length", "place", "n"))))
+            found = list(zip(*(flat.field(n).to_numpy().tolist() for n in ("pack", "block", "length", "place", "n"))))
             docs, starts, sizes, roots = (batch.column(k).to_pylist() for k in range(4))
             for doc, start, n, root, end in zip(docs, starts, sizes, roots, ends):
                 chunks = [blocks.get(pack, block, length)[place : place + size * width] for pack, block, length, place, size in found[at:end]]
