@@ -239,7 +239,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     prints = written(fingerprints(docs.select(own.alias("own"), text.alias("text")), "own", "text").withColumnRenamed("doc_id", "own"), "simhash")
     first, rank, kept = unused(docs, "first", "rank", "kept")
     chosen = _classes(prints, F.col("own")).select(F.col("first").alias(kept)).distinct()
-    met = docs.withColumn(first, own).join(chosen, [F.col(f"{first}.{c}").eqNullSafe(F.col(f"{kept}.{c}")) for c in ("last", "id", "hash")], "left_semi")
     plain = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
     place = F.row_number().over(Window.partitionBy(first).orderBy(F.xxhash64(*plain)))
-    return met.withColumn(rank, place).filter(F.col(rank) == 1).select(*[f"`{c}`" for c in docs.columns])
+    # Repeated rows go before texts are shuffled, once, to where both the window and the join need them.
+    single = docs.withColumn(first, own).withColumn(rank, place).filter(F.col(rank) == 1)
+    return single.join(chosen, F.col(first) == F.col(kept), "left_semi").select(*[f"`{c}`" for c in docs.columns])
