@@ -110,6 +110,16 @@ def test_languages_of_edges(spark, make, edges):
     assert language.fit(make([(1, "text"), (2, None, "en", None)])) is None
 
 
+def test_a_single_word_of_one_letter(spark, make):
+    """It has no n-gram of four characters, alone or among others, whether a text is fitted on or scored."""
+    among, alone = (language.ngrams(w) for w in (["b", "a", "cd"], ["a"]))
+    assert sorted(alone[0]) == sorted(among[0][among[1] == 1])
+    model = language.fit(make([*language_rows(), (1000, "a", "en"), (1001, "ø", "de")]))
+    assert np.array_equal(model.score(["a"]), model.score(["b", "a", "cd"])[1:2])
+    got = language.identify(make([(1, "x")]), model).collect()
+    assert [(r.doc_id, r.score, [tuple(s)[:2] for s in r.spans]) for r in got] == [(1, 1.0, [(0, 1)])]
+
+
 def test_untaught_scripts_are_no_language(spark, make):
     rng = random.Random(5)
     foreign = " ".join("".join(chr(0x0905 + rng.randrange(30)) for _ in range(5)) for _ in range(30))

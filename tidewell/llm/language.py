@@ -69,7 +69,9 @@ def ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     word = np.cumsum(space) - 1  # a word's leading space belongs to it
     buckets, owners = [], []
     for n in ORDERS:
-        value = np.full(max(0, len(points) - n + 1), n, np.uint64)
+        if n > len(points):  # a single word of one letter
+            continue
+        value = np.full(len(points) - n + 1, n, np.uint64)
         for k in range(n):
             value = (value * np.uint64(0x100000001B3)) ^ points[k : len(points) - n + 1 + k]
         inside = np.convolve(space, np.ones(n, int), "valid")
