@@ -17,6 +17,7 @@ from tidewell.operators.delta import open_delta, read_delta, write_delta
 from tidewell.operators.iceberg import HINT, current_version, open_iceberg, read_iceberg, with_retries, write_iceberg
 from tidewell.operators import layout
 from tidewell.operators.layout import write_layout
+from tidewell.plans import queries
 from tidewell.plans.cli import parser, source_of
 from tidewell.plans.fixture import t1
 from tidewell.plans.loader import load
@@ -183,6 +184,20 @@ def test_iceberg_life(spark, url):
     assert table.snapshots()[1]["parent-snapshot-id"] == table.snapshots()[0]["snapshot-id"]
 
 
+@pytest.mark.parametrize("keys", [range(5000), [None] * 50, []])
+def test_bounds_of_files_without_any(spark, tmp_path, keys):
+    """A row group of several splits leaves the first one, and so the first data file, without rows."""
+    rows = [(k, 1, "x" * (k or 0), 2.0) for k in keys]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderpriority string, o_totalprice double").coalesce(1).write.option("compression", "none").parquet(str(tmp_path / "orders.parquet"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        got = queries.iceberg_bounds(spark, str(tmp_path)).head()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    some = [k for k in keys if k is not None]
+    assert tuple(got) == (len(keys), len(keys) - len(some), min(some, default=None), max(some, default=None))
+
+
 def test_iceberg_append(spark, url):
     for n in (2, 3, 4):
         write_iceberg(rowset(spark, n), url, append=True)

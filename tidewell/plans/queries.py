@@ -187,8 +187,10 @@ def iceberg_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     url = scratch_url(spark, "iceberg-bounds")
     load(spark, _orders(spark, sf_dir), url, "iceberg")
     files = [e["data_file"] for e in open_iceberg(spark, url).entries()]
-    first = lambda f, name: next(p["value"] for p in f[name] if p["key"] == 1)
-    rows = [(f["record_count"], first(f, "null_value_counts"), int.from_bytes(first(f, "lower_bounds"), "little", signed=True), int.from_bytes(first(f, "upper_bounds"), "little", signed=True)) for f in files]
+    first = lambda f, name: next((p["value"] for p in f[name] if p["key"] == 1), None)
+    # A file without rows, or of nulls only, has no bounds; all have counts.
+    bound = lambda raw: None if raw is None else int.from_bytes(raw, "little", signed=True)
+    rows = [(f["record_count"], int(first(f, "null_value_counts")), bound(first(f, "lower_bounds")), bound(first(f, "upper_bounds"))) for f in files]
     return spark.createDataFrame(rows, "n long, nulls long, least long, most long").agg(F.sum("n").alias("n"), F.sum("nulls").alias("nulls"), F.min("least").alias("least"), F.max("most").alias("most"))
 
 
