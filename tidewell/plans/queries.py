@@ -84,7 +84,8 @@ SQL_LOADS: dict[str, tuple[tuple[str, ...], str, str | None]] = {
     "except_all": (("customer", "supplier"), "select c_nationkey as nationkey from customer except all select s_nationkey as nationkey from supplier", None),
     # As of each shipment the last order with its key: both sides in one order, and the last order before. One shuffle.
     "asof_join": (("orders", "lineitem"), "with both as (select o_custkey as k, o_orderdate as at, 0 as later, o_orderkey, cast(null as bigint) as l_orderkey, cast(null as int) as l_linenumber from orders union all select l_suppkey, l_shipdate, 1, null, l_orderkey, l_linenumber from lineitem) select l_orderkey, l_linenumber, at as l_shipdate, last_order from (select *, last_value(o_orderkey) ignore nulls over (partition by k order by at, later, o_orderkey rows between unbounded preceding and current row) as last_order from both) where later = 1", "select l.l_orderkey, l.l_linenumber, l.l_shipdate, o.o_orderkey as last_order from lineitem l asof left join (select o_custkey, o_orderdate, max(o_orderkey) as o_orderkey from orders group by all) o on o.o_custkey = l.l_suppkey and l.l_shipdate >= o.o_orderdate"),
-    "asof_lateral": (("supplier", "customer"), "select s.s_suppkey, c.c_custkey, c.c_acctbal from supplier s left join lateral (select c_custkey, c_acctbal from customer where c_nationkey = s.s_nationkey and c_acctbal <= s.s_acctbal order by c_acctbal desc, c_custkey limit 1) c on true", None),
+    # The same by one order of both sides, within bands of balances: a band without a customer before takes the last of the bands below it.
+    "asof_lateral": (("supplier", "customer"), "with best as (select c_nationkey as k, c_acctbal as at, min(c_custkey) as c_custkey from customer where c_nationkey is not null and c_acctbal is not null group by 1, 2), sides as (select k, at, 0 as later, named_struct('at', at, 'c_custkey', c_custkey) as found, cast(null as bigint) as s_suppkey from best union all select s_nationkey, s_acctbal, 1, null, s_suppkey from supplier), both as (select *, round(at, -2) as band from sides), bands as (select k, band, last_value(top) ignore nulls over (partition by k order by band rows between unbounded preceding and 1 preceding) as below from (select k, band, max(found) as top from both group by k, band)), within as (select *, last_value(found) ignore nulls over (partition by k, band order by at, later rows between unbounded preceding and current row) as last from both) select s_suppkey, coalesce(last, below).c_custkey as c_custkey, coalesce(last, below).at as c_acctbal from within w left join bands b on w.k = b.k and w.band = b.band where later = 1", "select s.s_suppkey, c.c_custkey, c.c_acctbal from supplier s left join lateral (select c_custkey, c_acctbal from customer where c_nationkey = s.s_nationkey and c_acctbal <= s.s_acctbal order by c_acctbal desc, c_custkey limit 1) c on true"),
     "topk": (("orders",), "select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 100", None),
     "distinct": (("part",), "select distinct p_brand, p_type from part", None),
     "cte": (("orders", "customer"), "with big as (select o_custkey, count(*) as n from orders group by o_custkey) select c.c_name, b.n from big b join customer c on c.c_custkey = b.o_custkey where b.n > (select avg(n) from big)", None),
