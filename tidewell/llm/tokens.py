@@ -104,6 +104,7 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize  # each `.model` makes a new object
         with open(path, encoding="utf-8") as file:
             parts = json.load(file)
         added = [x["content"] for x in parts.get("added_tokens") or []]
@@ -118,7 +119,8 @@ class Encoder:
 
     def _piece(self, piece: str) -> bytes:
         shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-        return b"".join([self.packed[t.id] for t in self.tokenizer.model.tokenize(shown)])
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.tokenize(shown)])
 
     def _word(self, word: str) -> bytes:
         if word.isalpha():
